@@ -51,7 +51,7 @@ def _sides(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return left, right
 
 
-def _summed(docs: DataFrame, size: int, count: Callable[[Chunk], np.ndarray]) -> np.ndarray:
+def summed(docs: DataFrame, size: int, count: Callable[[Chunk], np.ndarray]) -> np.ndarray:
     """The sum over all documents of a count table of a fixed size, one compressed table for each task, united in stages."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +129,7 @@ def train(triples: np.ndarray, *, hidden: int = 24, epochs: int = 60, rate: floa
 def fit(docs: DataFrame, **options: float) -> Model:
     """Three jobs: token counts, class triples, training on the driver."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    counts = _summed(rows, 1 << BUCKET_BITS, lambda c: np.bincount(_buckets(c)[0], minlength=1 << BUCKET_BITS))
+    counts = summed(rows, 1 << BUCKET_BITS, lambda c: np.bincount(_buckets(c)[0], minlength=1 << BUCKET_BITS))
     class_of, log_share = assign(counts)
 
     def triples(c: Chunk) -> np.ndarray:
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, **options: float) -> Model:
         left, right = _sides(k, first)
         return np.bincount((left * CLASSES + right) * CLASSES + k, minlength=CLASSES**3)
 
-    return Model(class_of.astype(np.int16), log_share.astype(np.float32), train(_summed(rows, CLASSES**3, triples), **options))
+    return Model(class_of.astype(np.int16), log_share.astype(np.float32), train(summed(rows, CLASSES**3, triples), **options))
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, url_filter
+from . import decontaminate, line_dedup, lm_score, ngram_join, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"), length=100)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     forest = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -57,7 +61,11 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs, lm_score.fit(docs))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op3_quality_rules, op4_sentencepiece, op5_token_counts, op6_decontaminate, op7_url_filter, op8_substring_dedup, op9_lm_score)
+    f.__name__: f for f in (op1_suffix_dedup, op2_line_dedup, op3_quality_rules, op4_sentencepiece, op5_token_counts, op6_decontaminate, op7_url_filter, op8_substring_dedup, op9_lm_score, op10_ngram_join)
 }
 ORACLES: dict[str, str] = {}
