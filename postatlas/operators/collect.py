@@ -33,7 +33,7 @@ def limit_by(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int) ->
 
 def union_sources(*sources: DataFrame) -> DataFrame:
     """UNION ALL in source order: ``ord`` becomes (source, ordinal in it), kept sortable as one struct."""
-    parts = [s.select(F.struct(F.lit(i).alias("s"), F.col("ord").cast("long").alias("o")).alias("ord"), *RAW_POST.fieldNames()) for i, s in enumerate(sources)]
+    parts = [s.select(F.struct(F.lit(i).alias("s"), F.col("ord").cast("long").alias("o")).alias("ord"), *RAW_POST) for i, s in enumerate(sources)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -41,7 +41,7 @@ def normalize_mastodon(statuses: DataFrame) -> DataFrame:
         either(image["preview_url"], image["url"]).alias("image"),
         image["url"].alias("imageFull"),
         F.lit(None).cast("struct<lat:double,lon:double>").alias("geo"),
-    ).select("ord", *RAW_POST.fieldNames())
+    ).select("ord", *RAW_POST)
 
 
 def normalize_x(responses: DataFrame) -> DataFrame:
@@ -76,4 +76,4 @@ def normalize_x(responses: DataFrame) -> DataFrame:
         either(img["preview_image_url"], img["url"]).alias("image"),
         either(img["url"], img["preview_image_url"]).alias("imageFull"),
         F.coalesce(bbox_center(F.col("places.geo.bbox")), point(F.col("t.geo.coordinates.coordinates"))).alias("geo"),
-    ).select("ord", *RAW_POST.fieldNames())
+    ).select("ord", *RAW_POST)

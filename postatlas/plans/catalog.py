@@ -135,7 +135,7 @@ def union_sources(spark: SparkSession, sf: str) -> DataFrame:
     from ..schemas import RAW_POST
 
     def raw(df: DataFrame, ord: F.Column, id: F.Column) -> DataFrame:
-        return df.select(ord.alias("ord"), *(id.alias("id") if f.name == "id" else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_POST.fields))
+        return df.select(ord.alias("ord"), *(id.alias("id") if f == "id" else F.lit(None).cast(t).alias(f) for f, t in RAW_POST.items()))
 
     d = raw(table(spark, sf, "documents"), F.col("doc_id"), F.concat(F.lit("d"), "doc_id"))
     c = raw(table(spark, sf, "conversations"), F.col("conv_id") * 1000 + F.col("turn"), F.concat(F.lit("c"), "conv_id"))
@@ -213,7 +213,7 @@ def sample_envelope(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _PIN = """SELECT id, CAST(CAST(regexp_extract(image, 'ramen-([0-9]+)', 1) AS INT) AS VARCHAR) AS img, CAST(floor(epoch_ms((SELECT date_trunc('milliseconds', now) FROM tnow)::TIMESTAMP - ts::TIMESTAMP) / 60000.0 + 0.5) AS INT) AS "minutesAgo", CAST(format('{:.4f}', lat) AS DOUBLE) AS lat, CAST(format('{:.4f}', lon) AS DOUBLE) AS lon, "locationLabel", confidence, method FROM loc"""
-_PIN = _PIN.replace("epoch_ms((SELECT date_trunc('milliseconds', now) FROM tnow)::TIMESTAMP - ts::TIMESTAMP)", "(epoch_ms((SELECT now FROM tnow)) - epoch_ms(ts))")
+_PIN = _PIN.replace("epoch_ms((SELECT date_trunc('milliseconds', now) FROM tnow)::TIMESTAMP - ts::TIMESTAMP)", "(epoch_ms((SELECT now::TIMESTAMP FROM tnow)) - epoch_ms(date_trunc('milliseconds', ts)::TIMESTAMP))")
 
 
 @query(WITH + _PIN)
@@ -223,7 +223,7 @@ def static_pins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(WITH + f""", pins AS ({_PIN}), im(img, uri) AS (VALUES ('1', 'data:1'), ('2', 'data:2'), ('7', 'data:7'))
-SELECT p.id, (SELECT epoch_ms(now) FROM tnow) - p."minutesAgo"::BIGINT * 60000 AS "createdAt", im.uri AS image FROM pins p LEFT JOIN im USING (img)""")
+SELECT p.id, (SELECT epoch_ms(now::TIMESTAMP) FROM tnow) - p."minutesAgo"::BIGINT * 60000 AS "createdAt", im.uri AS image FROM pins p LEFT JOIN im USING (img)""")
 def rehydrate_pins(spark: SparkSession, sf: str) -> DataFrame:
     now = latest(spark, sf)
     pins = mapview.static_pins(collect.located(posts(spark, sf)), now)
@@ -265,7 +265,7 @@ def svg_paths(spark: SparkSession, sf: str) -> DataFrame:
     return mapview.svg_paths(s, mapview.map_bounds(s))
 
 
-_AGO = "greatest(0, (epoch_ms((SELECT max(ts) FROM events)) - epoch_ms(ts)) // 1000)"
+_AGO = "greatest(0, (epoch_ms(date_trunc('milliseconds', (SELECT max(ts) FROM events))::TIMESTAMP) - epoch_ms(date_trunc('milliseconds', ts)::TIMESTAMP)) // 1000)"
 
 
 @query(f"""SELECT event_id, CASE WHEN {_AGO} < 60 THEN {_AGO} || '秒前' WHEN {_AGO} // 60 < 60 THEN ({_AGO} // 60) || '分前' ELSE ({_AGO} // 3600) || '時間前' END AS ago FROM events""")
@@ -273,7 +273,7 @@ def time_ago(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", times.time_ago(F.col("ts").cast("timestamp"), latest(spark, sf)).alias("ago"))
 
 
-@query("SELECT event_id, epoch_ms((SELECT max(ts) FROM events)) - epoch_ms(ts) < 600000 AS fresh FROM events")
+@query("SELECT event_id, epoch_ms(date_trunc('milliseconds', (SELECT max(ts) FROM events))::TIMESTAMP) - epoch_ms(date_trunc('milliseconds', ts)::TIMESTAMP) < 600000 AS fresh FROM events")
 def fresh_flag(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", times.is_fresh(F.col("ts").cast("timestamp"), latest(spark, sf)).alias("fresh"))
 
@@ -286,12 +286,12 @@ def html_escape(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.md5(text.escape_html(F.col("html"))).alias("escaped"))
 
 
-_AGE = "greatest(0, (epoch_ms((SELECT now FROM tnow)) - epoch_ms(ts)) // 1000)"
+_AGE = "greatest(0, (epoch_ms((SELECT now::TIMESTAMP FROM tnow)) - epoch_ms(date_trunc('milliseconds', ts)::TIMESTAMP)) // 1000)"
 
 
 @query(WITH + f"""SELECT id, "locationLabel" AS location, CASE confidence WHEN 'high' THEN 'ジオタグ' WHEN 'medium' THEN '地名(市区)' ELSE '地名(都道府県)' END AS "confidenceLabel", 'c-' || confidence AS "confidenceClass",
 CASE method WHEN 'geotag' THEN 'ジオタグ' ELSE '本文の地名' END AS "methodLabel", {_ESC.format('text')} AS text, {_ESC.format('''COALESCE(NULLIF("authorHandle", ''), author)''')} AS author,
-CASE WHEN {_AGE} < 60 THEN {_AGE} || '秒前' WHEN {_AGE} // 60 < 60 THEN ({_AGE} // 60) || '分前' ELSE ({_AGE} // 3600) || '時間前' END AS ago, epoch_ms((SELECT now FROM tnow)) - epoch_ms(ts) < 600000 AS fresh,
+CASE WHEN {_AGE} < 60 THEN {_AGE} || '秒前' WHEN {_AGE} // 60 < 60 THEN ({_AGE} // 60) || '分前' ELSE ({_AGE} // 3600) || '時間前' END AS ago, epoch_ms((SELECT now::TIMESTAMP FROM tnow)) - epoch_ms(date_trunc('milliseconds', ts)::TIMESTAMP) < 600000 AS fresh,
 '#' || tags[1] || ' #' || tags[2] AS tags, COALESCE({_ESC.format('url')}, "sourceLabel") AS link FROM loc""")
 def display_row(spark: SparkSession, sf: str) -> DataFrame:
     return mapview.display_rows(collect.located(posts(spark, sf)), latest(spark, sf))

@@ -45,7 +45,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("/images/ramen-"), F.lpad(F.pmod(i, F.lit(10)).cast("string"), 2, "0"), F.lit(".svg")).alias("image"),
         F.when(F.pmod(i, F.lit(2)) == 0, F.lit("/full.svg")).otherwise("").alias("imageFull"),
         F.when(F.pmod(i, F.lit(7)) == 0, F.struct((F.lit(26.0) + F.pmod(i * 37, F.lit(1700)).cast("double") / 100).alias("lat"), (F.lit(128.0) + F.pmod(i * 53, F.lit(1500)).cast("double") / 100).alias("lon"))).alias("geo"),
-    ).select("ord", *RAW_POST.fieldNames())
+    ).select("ord", *RAW_POST)
 
 
 def _text(s: str) -> str:
@@ -69,7 +69,7 @@ posts AS (SELECT d.doc_id AS ord, 'doc:' || d.doc_id AS id, CASE WHEN d.doc_id %
   CASE WHEN d.doc_id % 7 = 0 THEN 26.0::DOUBLE + CAST(d.doc_id * 37 % 1700 AS DOUBLE) / 100 END AS tlat,
   CASE WHEN d.doc_id % 7 = 0 THEN 128.0::DOUBLE + CAST(d.doc_id * 53 % 1500 AS DOUBLE) / 100 END AS tlon
   FROM documents d JOIN events e ON e.event_id = d.doc_id JOIN names n ON n.k = d.doc_id % {len(NAMES)}),
-tnow AS (SELECT max(ts) AS now FROM events),
+tnow AS (SELECT date_trunc('milliseconds', max(ts)) AS now FROM events),
 hay AS (SELECT ord, text || ' ' || array_to_string(tags, ' ') AS h FROM posts WHERE tlat IS NULL),
 hits AS (SELECT h.ord, g.gord, arg_min(g.name, g.pos) AS name FROM hay h JOIN gname g ON contains(h.h, g.name) GROUP BY ALL),
 best AS (SELECT x.ord, arg_max(x.gord, (g.prio * 100 + length(x.name), -x.gord)) AS gord, max(g.prio * 100 + length(x.name)) AS score FROM hits x JOIN gaz g USING (gord) GROUP BY x.ord),

@@ -48,7 +48,9 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return self.jobs
 
-    def read(self, job: _Job) -> Iterator[tuple]:
+    def read(self, job: _Job | None) -> Iterator[tuple]:
+        if job is None:  # no partitions: the engine makes one without a job
+            return
         body = _get(job.url, self.headers, self.timeout)
         if body is not None:
             yield job.ord, job.instance, body
@@ -96,7 +98,7 @@ def register(spark: SparkSession) -> None:
 
 def parse_timelines(bodies: DataFrame) -> DataFrame:
     """(job, instance, body) to statuses with instance and ``ord`` in job order; a body that is no array gives none."""
-    rows = bodies.where(F.col("body").rlike(r"^\s*\[")).select("job", "instance", F.posexplode(F.from_json("body", f"array<{MASTODON_STATUS.simpleString()}>")).alias("_i", "s"))
+    rows = bodies.where(F.col("body").rlike(r"^\s*\[")).select("job", "instance", F.posexplode(F.from_json("body", f"array<{MASTODON_STATUS}>")).alias("_i", "s"))
     return rows.select((F.col("job") * 1_000_000 + F.col("_i")).cast("long").alias("ord"), "instance", "s.*")
 
 

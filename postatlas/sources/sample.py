@@ -55,4 +55,4 @@ def sample_posts(spark: SparkSession, now: Column) -> DataFrame:
         image.alias("image"),
         image.alias("imageFull"),
         "geo",
-    ).select("ord", *RAW_POST.fieldNames())
+    ).select("ord", *RAW_POST)
