@@ -44,7 +44,7 @@ from .components import connected
 from .lm_score import summed
 from .scale import checkpoint_dir, groups
 from .stretches import MESSAGE, _batch, _dealt, _kinds
-from .textcore import LOWER, SPACE_WORDS, U64, Chunk, Spans, chunks, mix, owner, split_words, unpack_all, windows, word_hashes
+from .textcore import LOWER, SPACE_WORDS, U64, Chunk, Spans, chunks, mix, owner, pack, split_words, unpack_all, windows, word_hashes
 
 SKETCH_BITS = 20
 SIZES = 64  # sizes counted for the boundary
@@ -144,6 +144,15 @@ def _star(key: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.nd
     return order, head
 
 
+def _group(table: pa.Table) -> int:
+    return int(table.column("b")[0].as_py()) if table.num_rows else 0
+
+
+def _passed(kinds: dict[int, list[bytes]], b: int, which: tuple[int, ...]) -> list[tuple[int, int, bytes]]:
+    """Messages for the same group, one row for each kind."""
+    return [(b, k, pack(*unpack_all(kinds[k], *_PAIR))) for k in which if k in kinds]
+
+
 def _similar_size(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
@@ -227,7 +236,7 @@ def _by_key(plan: Plan) -> Callable[[pa.Table], pa.Table]:
 
     def run(table: pa.Table) -> pa.Table:
         kinds, b = _kinds(table), table.column("b")[0].as_py()
-        rows = [(b, k, p) for k in (NODE, EDGE, COPY, PAIR) for p in kinds.get(k, [])]
+        rows = _passed(kinds, b, (NODE, EDGE, COPY, PAIR))
         if SAME in kinds:
             k, d, *_ = unpack_all(kinds[SAME], *_KEYED)
             order, head = _star(k, [d])
@@ -306,7 +315,7 @@ def _targets(payloads: list[bytes]) -> np.ndarray:
 def _ask_stars(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         kinds = _kinds(table)
-        rows = [(r["b"], r["kind"], r["payload"]) for r in table.filter(pa.compute.is_in(table.column("kind"), pa.array([NODE, EDGE, COPY], pa.int32()))).to_pylist()]
+        rows = _passed(kinds, _group(table), (NODE, EDGE, COPY))
         rows += _send(docs, *unpack_all(kinds.get(PAIR, []), *_PAIR), plan)
         return pa.Table.from_batches([_batch(rows)])
 
@@ -319,7 +328,7 @@ def _list_prefixes(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         kinds = _kinds(table)
-        rows = [(int(table.column("b")[0].as_py()) if table.num_rows else 0, k, p) for k in (NODE, EDGE) for p in kinds.get(k, [])]
+        rows = _passed(kinds, _group(table), (NODE, EDGE))
         copies = np.unique(unpack_all(kinds.get(COPY, []), *_PAIR)[0])
         wanted = _targets(kinds.get(SETS, []))
         listed: list[list[np.ndarray]] = []
@@ -396,7 +405,7 @@ def _united(p: list[np.ndarray]) -> list[np.ndarray]:
 def _scan_lists(plan: Plan) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         kinds, b = _kinds(table), table.column("b")[0].as_py()
-        rows = [(b, k, p) for k in (NODE, EDGE) for p in kinds.get(k, [])]
+        rows = _passed(kinds, b, (NODE, EDGE))
         if LISTED in kinds:
             for p in _counted(*unpack_all(kinds[LISTED], *_LISTED), plan):
                 rows += _dealt(COUNTED, p[0] % plan.g, p)
@@ -408,7 +417,7 @@ def _scan_lists(plan: Plan) -> Callable[[pa.Table], pa.Table]:
 def _ask_pairs(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         kinds = _kinds(table)
-        rows = [(int(table.column("b")[0].as_py()), k, p) for k in (NODE, EDGE) for p in kinds.get(k, [])]
+        rows = _passed(kinds, _group(table), (NODE, EDGE))
         a, b, shared, na, nb = (x.astype(np.int64) for x in _united(unpack_all(kinds.get(COUNTED, []), *_COUNTED)))
         most = shared + np.maximum(na - prefix(na, plan.percent), nb - prefix(nb, plan.percent))
         may = most >= needed(na, nb, plan.percent)
@@ -421,7 +430,7 @@ def _ask_pairs(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def _link_pairs(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         kinds = _kinds(table)
-        rows = [(int(table.column("b")[0].as_py()) if table.num_rows else 0, k, p) for k in (NODE, EDGE) for p in kinds.get(k, [])]
+        rows = _passed(kinds, _group(table), (NODE, EDGE))
         wanted = _targets(kinds.get(SETS, []))
         for c in chunks(docs.to_batches()) if len(wanted) else ():
             p = _part(c, wanted)
