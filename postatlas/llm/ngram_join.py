@@ -16,9 +16,10 @@ part further.
   overlap; the pairs that it leaves are verified on whole sets.
 
 Large groups of near copies are first contracted: documents that share a
-minimum token are verified against the smallest of them, in the task where they
-meet or by a message; pairs with one leader are linked already and are not
-listed again.  No pair is capped or dropped.  All exchanges are packed arrays
+minimum token are verified against the smallest of them, in each task's rows and
+then over all.  A verified document points to it, pointers are followed twice
+(document, its task's smallest, the smallest of all), and documents with one
+leader are in one component already: their pairs are not listed again.  No pair is capped or dropped.  All exchanges are packed arrays
 keyed by document group or by token bucket, whose numbers grow with the input.
 
 Fingerprints have 64 bits.
@@ -48,13 +49,15 @@ from .textcore import LOWER, SPACE_WORDS, U64, Chunk, Spans, chunks, mix, owner,
 
 SKETCH_BITS = 20
 SIZES = 64  # sizes counted for the boundary
-NODE, EDGE, COPY, SAME, LIGHT, LEAST, PAIR, SETS, LISTED, COUNTED = range(10)
+NODE, EDGE, COPY, SAME, LIGHT, LEAST, PAIR, SETS, LISTED, COUNTED, POINT, ASKED, TOLD = range(13)
 _PAIR = (np.int64, np.int64)
 _KEYED = (U64, np.int64, np.int32, np.int32)  # key, document, size, role
 _LISTED = (U64, np.int64, np.int64, np.int32)  # token, document, leader, size
 _COUNTED = (np.int64, np.int64, np.int32, np.int32, np.int32)  # pair, shared, sizes
 FLUSH_BYTES = 16 << 20
 _STARS = 4
+_CENTRES = 3
+_REST = 64
 
 
 def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int = 75) -> np.ndarray | int:
@@ -157,6 +160,51 @@ def _similar_size(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
+def _linked(h: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets a and b (rows of sorted fingerprints) link."""
+    out = np.zeros(len(a), bool)
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        own, other = h[first[x] : first[x + 1]], h[first[y] : first[y + 1]]
+        at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+        out[i] = int((own[at] == other).sum()) >= needed(len(own), len(other), percent)
+    return out
+
+
+def _near(plan: Plan, keys: np.ndarray, reps: np.ndarray, ids: np.ndarray, h: np.ndarray, size: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Stars within a flush: keys and rows to compare over all, and the links found (centre, row).
+
+    Rows of one key are verified against the smallest; those that do not link
+    form the next star.  The centres of the first ``_CENTRES`` stars of a key are
+    passed on with ``_REST`` of the rows left, so a frequent key costs a bounded
+    number of rows for each flush.  Rows that are not passed on have no pointer
+    and are compared in the lists like all others.
+    """
+    first = np.concatenate(([0], np.cumsum(size)))
+    free = np.zeros(len(ids), bool)
+    free[reps[size[reps] > plan.boundary]] = True
+    out_key, out_row, out_a, out_b = [np.empty(0, U64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for key in keys:
+        row = np.flatnonzero(free)
+        for _ in range(_CENTRES):
+            order, head = _star(key[row], [ids[row]])
+            row, centre = row[order], row[order][head]
+            alone = row == centre
+            out_key.append(key[row[alone]])
+            out_row.append(row[alone])
+            row, centre = row[~alone], centre[~alone]
+            link = _similar_size(size[row], size[centre], plan.percent)
+            link[link] = _linked(h, first, centre[link], row[link], plan.percent)
+            out_a.append(centre[link])
+            out_b.append(row[link])
+            free[row[link]] = False
+            row = row[~link]
+        order, head = _star(key[row], [ids[row]])
+        rest = row[order][np.arange(len(row)) - head < _REST]
+        out_key.append(key[rest])
+        out_row.append(rest)
+    return (np.concatenate(out_key), np.concatenate(out_row)), (np.concatenate(out_a), np.concatenate(out_b))
+
+
 def _first(plan: Plan) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     g, percent = plan.g, plan.percent
 
@@ -164,25 +212,21 @@ def _first(plan: Plan) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
         rows: list = []
         ids, size, same = (np.concatenate([h[i] for h in held]) for i in range(3))
         rows += _dealt(NODE, ids % g, [ids, size.astype(np.int64)])
-        some = size > 0
+        some = np.flatnonzero(size)
         order, head = _star(same[some], [ids[some]])
-        d, k, z = ids[some][order], same[some][order], size[some][order]
+        at = some[order]
+        d, k, z = ids[at], same[at], size[at]
         copy = d != d[head]
         rows += _dealt(EDGE, d[copy] % g, [d[copy], d[head][copy]])
         rows += _dealt(COPY, d[copy] % g, [d[copy], d[head][copy]])
         rep = head == np.arange(len(head))
         rows += _dealt(SAME, plan.bucket(k[rep]), [k[rep], d[rep], z[rep].astype(np.int32), np.zeros(rep.sum(), np.int32)])
-        for kind, at in ((LIGHT, 3), (LEAST, 4)):
-            col = [np.concatenate([h[at][i] for h in held]) for i in range(4)]
-            if kind == LEAST:  # stars within the flush are asked for at once, its smallest document stands for them
-                order, head = _star(col[0], col[1:])
-                col = [c[order] for c in col]
-                a, b = col[1][head], col[1]
-                link = (a != b) & _similar_size(col[2][head], col[2], percent)
-                rows += _dealt(PAIR, a[link] % g, [a[link], b[link]])
-                keep = (head == np.arange(len(head))) | ((a != b) & ~link)
-                col = [c[keep] for c in col]
-            rows += _dealt(kind, plan.bucket(col[0]), col)
+        light = [np.concatenate([x[3][i] for x in held]) for i in range(4)]
+        rows += _dealt(LIGHT, plan.bucket(light[0]), light)
+        (key, row), (a, b) = _near(plan, np.concatenate([x[4] for x in held], axis=1), at[rep], ids, np.concatenate([x[5] for x in held]), size)
+        for kind in (EDGE, POINT):
+            rows += _dealt(kind, ids[b] % g, [ids[b], ids[a]])
+        rows += _dealt(LEAST, plan.bucket(key), [key, ids[row], size[row].astype(np.int32), np.zeros(len(row), np.int32)])
         return _batch(rows)
 
     def scan(c: Chunk) -> tuple:
@@ -202,19 +246,12 @@ def _first(plan: Plan) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
         if keys:
             light = [np.array([k[j] for k in keys], t) for j, t in enumerate(_KEYED)]
             light[0] = mix(light[0])
-        # minimum tokens under several hashes, frequent tokens last
-        least = [np.empty(0, t) for t in _KEYED]
-        big = np.flatnonzero(size > plan.boundary)
-        if len(big):
-            hot = (plan.order(h) >> U64(63)) << U64(63)
-            mins = []
+        # minimum tokens under several hashes; frequent ones too, for those of a large group of near copies are frequent
+        least = np.zeros((_STARS, len(c)), U64)
+        if len(some):
             for j in range(_STARS):
-                value = np.minimum.reduceat((mix(h + U64(j * 7919 + 1)) >> U64(1)) | hot, first[:-1][some])
-                full = np.zeros(len(c), U64)
-                full[some] = value
-                mins.append(mix(full[big] + U64(j)))
-            least = [np.concatenate(mins), np.tile(ids[big], _STARS), np.tile(size[big], _STARS).astype(np.int32), np.zeros(_STARS * len(big), np.int32)]
-        return ids, size, same, light, least
+                least[j, some] = mix(np.minimum.reduceat(mix(h + U64(j * 7919 + 1)), first[:-1][some]) + U64(j))
+        return ids, size, same, light, least, h
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
@@ -236,7 +273,7 @@ def _by_key(plan: Plan) -> Callable[[pa.Table], pa.Table]:
 
     def run(table: pa.Table) -> pa.Table:
         kinds, b = _kinds(table), table.column("b")[0].as_py()
-        rows = _passed(kinds, b, (NODE, EDGE, COPY, PAIR))
+        rows = _passed(kinds, b, (NODE, EDGE, COPY, PAIR, POINT))
         if SAME in kinds:
             k, d, *_ = unpack_all(kinds[SAME], *_KEYED)
             order, head = _star(k, [d])
@@ -315,32 +352,97 @@ def _targets(payloads: list[bytes]) -> np.ndarray:
 def _ask_stars(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         kinds = _kinds(table)
-        rows = _passed(kinds, _group(table), (NODE, EDGE, COPY))
+        rows = _passed(kinds, _group(table), (NODE, EDGE, COPY, POINT))
         rows += _send(docs, *unpack_all(kinds.get(PAIR, []), *_PAIR), plan)
         return pa.Table.from_batches([_batch(rows)])
 
     return run
 
 
+def _asked(doc: np.ndarray, leader: np.ndarray, b: int, g: int) -> list[tuple[int, int, bytes]]:
+    """Pointers, kept in their group, and questions to the groups of their leaders, once for each."""
+    if not len(doc):
+        return []
+    to = np.unique(leader)
+    return [(b, POINT, pack(doc, leader)), *_dealt(ASKED, to % g, [to, np.full(len(to), b, np.int64)])]
+
+
+def _moved(value: np.ndarray, kinds: dict[int, list[bytes]], kind: int) -> np.ndarray:
+    """Values replaced by what the messages of this kind (value, new value) say."""
+    old, new = unpack_all(kinds.get(kind, []), *_PAIR)
+    if not len(old):
+        return value
+    order = np.argsort(old, kind="stable")
+    old, new = old[order], new[order]
+    at = np.minimum(np.searchsorted(old, value), len(old) - 1)
+    return np.where(old[at] == value, new[at], value)
+
+
+def _verify_stars(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Links of stars; each document linked to a centre points to the smallest of them."""
+
+    def run(docs: pa.Table, table: pa.Table) -> pa.Table:
+        kinds, here = _kinds(table), _group(table)
+        rows = _passed(kinds, here, (NODE, EDGE, COPY))
+        wanted = _targets(kinds.get(SETS, []))
+        found = [unpack_all(kinds.get(POINT, []), *_PAIR)]
+        for c in chunks(docs.to_batches()) if len(wanted) else ():
+            p = _part(c, wanted)
+            h, first = shingles(p, plan.n)
+            sets = {d: h[first[i] : first[i + 1]] for i, d in enumerate(p.id_values.tolist())}
+            a, b = _verify(sets, kinds[SETS], plan.percent)
+            rows += _dealt(EDGE, b % plan.g, [b, a])
+            found.append([b, a])
+        b, a = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((a, b))
+        own, at = np.unique(b[order], return_index=True)
+        rows += _asked(own, a[order][at], here, plan.g)
+        return pa.Table.from_batches([_batch(rows)])
+
+    return run
+
+
+def _answer(plan: Plan) -> Callable[[pa.Table], pa.Table]:
+    """Tells the groups that asked where the leaders themselves point."""
+
+    def run(table: pa.Table) -> pa.Table:
+        kinds, b = _kinds(table), _group(table)
+        rows = _passed(kinds, b, (NODE, EDGE, COPY, POINT))
+        who, to = unpack_all(kinds.get(ASKED, []), *_PAIR)
+        points = _moved(who, kinds, POINT)
+        use = points != who
+        rows += _dealt(TOLD, to[use], [who[use], points[use]])
+        return pa.Table.from_batches([_batch(rows)])
+
+    return run
+
+
+def _follow(plan: Plan) -> Callable[[pa.Table], pa.Table]:
+    """Moves pointers on to their leaders' leaders and asks again."""
+
+    def run(table: pa.Table) -> pa.Table:
+        kinds, b = _kinds(table), _group(table)
+        doc, leader = unpack_all(kinds.get(POINT, []), *_PAIR)
+        rows = _passed(kinds, b, (NODE, EDGE, COPY)) + _asked(doc, _moved(leader, kinds, TOLD), b, plan.g)
+        return pa.Table.from_batches([_batch(rows)])
+
+    return run
+
+
 def _list_prefixes(plan: Plan) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Verifies stars, then lists the first tokens of all sets with their leaders."""
+    """Lists the first tokens of all sets with their leaders."""
     g, percent = plan.g, plan.percent
 
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         kinds = _kinds(table)
         rows = _passed(kinds, _group(table), (NODE, EDGE))
         copies = np.unique(unpack_all(kinds.get(COPY, []), *_PAIR)[0])
-        wanted = _targets(kinds.get(SETS, []))
         listed: list[list[np.ndarray]] = []
         for c in chunks(docs.to_batches()):
             p = _part(c, c.id_values)
             h, first = shingles(p, plan.n)
             ids, size = p.id_values.astype(np.int64), np.diff(first)
-            sets = {int(ids[i]): h[first[i] : first[i + 1]] for i in np.flatnonzero(np.isin(ids, wanted))}
-            a, b = _verify(sets, kinds.get(SETS, []), percent)
-            rows += _dealt(EDGE, b % g, [b, a])
-            leader = ids.copy()
-            np.minimum.at(leader, np.searchsorted(ids, b), a)
+            leader = _moved(_moved(ids, kinds, POINT), kinds, TOLD)
             use = (100 * size >= percent * (plan.boundary + 1)) & (size > 0) & ~np.isin(ids, copies)
             key = plan.order(h)
             of = owner(first)
@@ -470,6 +572,9 @@ def join_components(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFr
     m = named.mapInArrow(lazily(_first), MESSAGE)
     m = m.groupBy("b").applyInArrow(grouped(_by_key), MESSAGE)
     m = dealt.groupBy("b").cogroup(m.groupBy("b")).applyInArrow(cogrouped(_ask_stars), MESSAGE)
+    m = dealt.groupBy("b").cogroup(m.groupBy("b")).applyInArrow(cogrouped(_verify_stars), MESSAGE)
+    for step in (_answer, _follow, _answer):
+        m = m.groupBy("b").applyInArrow(grouped(step), MESSAGE)
     m = dealt.groupBy("b").cogroup(m.groupBy("b")).applyInArrow(cogrouped(_list_prefixes), MESSAGE)
     m = m.groupBy("b").applyInArrow(grouped(_scan_lists), MESSAGE)
     m = dealt.groupBy("b").cogroup(m.groupBy("b")).applyInArrow(cogrouped(_ask_pairs), MESSAGE)
