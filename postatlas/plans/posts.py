@@ -35,7 +35,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(even, "mastodon").otherwise("x").alias("source"),
         F.when(even, "Mastodon (demo)").otherwise("X (Twitter)").alias("sourceLabel"),
         F.when(F.pmod(i, F.lit(3)) != 0, F.concat(F.lit("https://e.example/?a=1&b="), i)).alias("url"),
-        F.concat(F.substring("text", 1, 200), F.when(F.pmod(i, F.lit(5)) != 0, F.concat(F.lit(" "), "name")).otherwise("")).alias("text"),
+        F.concat(F.col("text"), F.when(F.pmod(i, F.lit(5)) != 0, F.concat(F.lit(" "), "name")).otherwise("")).alias("text"),
         F.array("lang", docs["source"]).alias("tags"),
         iso(F.col("ts").cast("timestamp")).alias("createdAt"),
         F.concat(F.lit("user "), "user_id").alias("author"),
