@@ -1,17 +1,24 @@
-"""Masked pseudo-likelihood scores from a bidirectional window network.
+"""Masked pseudo-likelihood scores from a bidirectional window network and counts of word pairs.
 
-Every token is predicted from both sides: a network with one hidden layer reads
-the classes of the left and of the right neighbour and gives the distribution
-of the masked token's class; within its class the token has its corpus share.
-A document's score is the sum of the logarithms of these conditional
-probabilities over all its tokens.
+Every token is predicted from both sides.  A network with one hidden layer reads
+the classes of the left and of the right neighbour and gives the distribution of
+the masked token's class; times the token's share of its class this is a first
+distribution of the token itself.  Counts of the pairs that the token makes with
+its two neighbours then condition it on the neighbours' words:
 
-What the network learns from are counts over *all* documents, in two scans:
-token counts in hashed buckets, then counts of class triples.  Each task sends
-one compressed table of a fixed size, so what is gathered grows with the number
-of tasks, and the driver adds tables of a fixed size.  Training is full-batch
-on the triple counts, in numpy.  The trained distribution over CLASSES^3
-triples is a table of a fixed size, sent to the tasks that score.
+    (pairs with the left word + pairs with the right word + PRIOR * first)
+    / (places of the left word + places of the right word + PRIOR)
+
+A document's score is the sum of the logarithms over all its tokens.  Where the
+documents scored are those counted, a token's own place is taken out of each
+count, so a rare pair says nothing for itself but only for its repeats.
+
+The network learns from class triples, in tables of a fixed size.  Words and
+pairs have one count each, however many there are: documents are dealt to groups,
+a group sends its distinct keys with their counts to buckets of the key space, a
+bucket adds them up and answers in the order of the keys, and each group scores
+its documents with the answers.  What is gathered grows with the corpus, and none
+of it passes the driver.  Keys are hashes of 56 bits with the class in 8 more.
 
 Edge cases: a text without words has no tokens, a score of 0 and a null mean;
 repeated rows count each and are scored each; an empty table gives an empty
@@ -22,24 +29,36 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textcore import LOWER, SPACE_WORDS, U64, Chunk, chunks, owner, split_words, word_hashes
+from .scale import GROUP_BYTES, groups
+from .textcore import LOWER, SPACE_WORDS, U64, Chunk, chunks, mix, owner, split_words, word_hashes
 
 BUCKET_BITS = 17
 CLASSES = 96  # class 0 is the text's edge
 _SINGLE = 64  # frequent buckets with a class of their own
+PRIOR = 4.0  # weight of the network's distribution, in places
+_MESSAGE = "g int, p int, keys binary, counts binary"
 
 
-def _buckets(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
     buf = LOWER[c.buf]
     starts, ends, first = split_words(buf, c.offs, SPACE_WORDS)
-    return (word_hashes(buf, starts, ends) >> U64(64 - BUCKET_BITS)).astype(np.int64), first
+    return word_hashes(buf, starts, ends), first
+
+
+def _bucket(words: np.ndarray) -> np.ndarray:
+    return (words >> U64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _buckets(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    words, first = _hashes(c)
+    return _bucket(words), first
 
 
 def _sides(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,12 +98,13 @@ def summed(docs: DataFrame, size: int, count: Callable[[Chunk], np.ndarray]) ->
 @dataclass
 class Model:
     class_of: np.ndarray  # by bucket
-    log_share: np.ndarray  # by bucket: log of its share of its class
+    mass: np.ndarray  # by class: tokens
     log_table: np.ndarray  # by (left * CLASSES + right) * CLASSES + class
+    rows: DataFrame | None = None  # the documents counted; not sent to tasks
 
 
 def assign(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of buckets: frequent ones have their own, the others are dealt by rank to classes of like size."""
+    """Classes of buckets, and the tokens of each class: frequent ones have their own, the others are dealt by rank to classes of like size."""
     order = np.argsort(-counts, kind="stable")
     class_of = np.empty(len(counts), np.int64)
     class_of[order[:_SINGLE]] = np.arange(1, _SINGLE + 1)
@@ -92,9 +112,7 @@ def assign(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mass = np.cumsum(counts[rest] + 1.0)
     bands = CLASSES - 1 - _SINGLE
     class_of[rest] = _SINGLE + 1 + np.minimum(bands - 1, (mass / mass[-1] * bands).astype(np.int64))
-    smooth = counts + 0.5
-    total = np.bincount(class_of, smooth, CLASSES)
-    return class_of, np.log(smooth / total[class_of])
+    return class_of, np.bincount(class_of, counts, CLASSES)
 
 
 def train(triples: np.ndarray, *, hidden: int = 24, epochs: int = 60, rate: float = 0.05, seed: int = 11) -> np.ndarray:
@@ -126,11 +144,15 @@ def train(triples: np.ndarray, *, hidden: int = 24, epochs: int = 60, rate: floa
     return forward()[1].astype(np.float32).ravel()
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
 def fit(docs: DataFrame, **options: float) -> Model:
-    """Three jobs: token counts, class triples, training on the driver."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    """Three jobs: token counts, class triples, training on the driver. Words and pairs are counted as documents are scored."""
+    rows = _rows(docs, "doc_id", "text")
     counts = summed(rows, 1 << BUCKET_BITS, lambda c: np.bincount(_buckets(c)[0], minlength=1 << BUCKET_BITS))
-    class_of, log_share = assign(counts)
+    class_of, mass = assign(counts)
 
     def triples(c: Chunk) -> np.ndarray:
         b, first = _buckets(c)
@@ -138,27 +160,120 @@ def fit(docs: DataFrame, **options: float) -> Model:
         left, right = _sides(k, first)
         return np.bincount((left * CLASSES + right) * CLASSES + k, minlength=CLASSES**3)
 
-    return Model(class_of.astype(np.int16), log_share.astype(np.float32), train(summed(rows, CLASSES**3, triples), **options))
+    return Model(class_of.astype(np.int16), mass, train(summed(rows, CLASSES**3, triples), **options), rows)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Byte after byte of all numbers, so that high bytes, mostly zero, compress."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _keys(words: np.ndarray, first: np.ndarray, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The key of each word, the key of its pair with the next word, and whether there is one in its document."""
+    word = (mix(words) & ~U64(255)) | class_of[_bucket(words)].astype(U64)
+    nxt = np.append(words[1:], U64(0))[: len(words)]
+    pair = mix(words * U64(0xA24BAED4963EE407) + mix(nxt)) & ~U64(255)  # class 0: no word has it
+    has = np.ones(len(words), bool)
+    some = first[:-1] < first[1:]
+    has[first[1:][some] - 1] = False
+    return word, pair, has
+
+
+def _read(table: pa.Table) -> tuple[pa.Array | list, np.ndarray, np.ndarray]:
+    """Ids, word hashes and each document's first word, of a whole group."""
+    ids, words, first, n = [], [np.empty(0, U64)], [np.zeros(1, np.int64)], 0
+    for c in chunks(table.to_batches()):
+        w, f = _hashes(c)
+        ids.append(c.ids)
+        words.append(w)
+        first.append(f[1:] + n)
+        n += len(w)
+    return ids, np.concatenate(words), np.concatenate(first)
+
+
+def _messages(rows: DataFrame, pieces: int, sent: object, *, asks: bool, tells: bool) -> DataFrame:
+    """One message of each group to each bucket: its distinct keys and their counts (0 unless it tells); g is -1 unless it asks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, words, first = _read(table)
+        word, pair, has = _keys(words, first, sent.value.class_of)
+        keys, counts = np.unique(np.concatenate((word, pair[has])), return_counts=True)
+        cuts = np.searchsorted((keys >> U64(32)) * U64(pieces) >> U64(32), np.arange(pieces + 1, dtype=U64))
+        cut = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        step = [np.diff(keys[a:b], prepend=U64(0)) if b > a else keys[a:b] for a, b in cut]
+        g = table.column("g")[0].as_py()
+        return pa.table({"g": pa.array([g if asks else -1] * pieces, pa.int32()), "p": pa.array(range(pieces), pa.int32()), "keys": pa.array(map(_planes, step), pa.binary()), "counts": pa.array([_planes(counts[a:b] * tells) for a, b in cut], pa.binary())})
+
+    return rows.groupBy("g").applyInArrow(run, _MESSAGE)
+
+
+def _answers(messages: DataFrame) -> DataFrame:
+    """To each message that asks: the counts over all messages in the order of its keys, and the bucket's distinct words of each class."""
+
+    def run(table: pa.Table) -> pa.Table:
+        g = table.column("g").to_pylist()
+        keys = [np.cumsum(_numbers(x.as_py()), dtype=U64) for x in table.column("keys")]
+        found = np.unique(np.concatenate(keys))
+        total = np.zeros(len(found), U64)
+        for x, counts in zip(keys, table.column("counts"), strict=True):
+            total[np.searchsorted(found, x)] += _numbers(counts.as_py())  # a message's keys are distinct
+        kinds = _planes(np.bincount((found[total > 0] & U64(255)).astype(np.int64), minlength=CLASSES))
+        asked = [k for k, x in enumerate(g) if x >= 0]
+        p = table.column("p")[0].as_py()
+        return pa.table({"g": pa.array([g[k] for k in asked], pa.int32()), "p": pa.array([p] * len(asked), pa.int32()), "keys": pa.array([kinds] * len(asked), pa.binary()), "counts": pa.array([_planes(total[np.searchsorted(found, keys[k])]) for k in asked], pa.binary())})
+
+    return messages.groupBy("p").applyInArrow(run, _MESSAGE)
+
+
+def _likelihoods(words: np.ndarray, first: np.ndarray, answers: pa.Table, m: Model, own: int) -> np.ndarray:
+    """log P(token | neighbours) of each token; own is 1 if the tokens' places are in the counts."""
+    word, pair, has = _keys(words, first, m.class_of)
+    keys = np.unique(np.concatenate((word, pair[has])))
+    rows = answers.sort_by("p")
+    total = np.concatenate([_numbers(x.as_py()) for x in rows.column("counts")]).astype(np.float64)
+    kinds = np.sum([_numbers(x.as_py()) for x in rows.column("keys")], axis=0).astype(np.float64)
+    others = np.maximum(total - own, 0.0)
+    n, pairs = others[np.searchsorted(keys, word)], np.zeros(len(words))
+    pairs[has] = others[np.searchsorted(keys, pair[has])]
+    # by the left and by the right word; an edge says nothing
+    after, before = np.append(0.0, pairs[:-1]), pairs
+    left, right = np.append(0.0, np.where(has, n, 0.0)[:-1]), np.where(has, np.append(n[1:], 0.0), 0.0)
+    k = m.class_of[_bucket(words)].astype(np.int64)
+    a, b = _sides(k, first)
+    share = (n + 0.5) / (np.maximum(m.mass[k] - own, 0.0) + 0.5 * (kinds[k] + 1))  # one more for words never seen
+    prior = np.exp(m.log_table[(a * CLASSES + b) * CLASSES + k].astype(np.float64)) * share
+    return np.log((after + before + PRIOR * prior) / (left + right + PRIOR))
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, log_likelihood, mean_log_likelihood) of every row.  Scan only."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size, about 5 MB
+    """(id, n_tokens, log_likelihood, mean_log_likelihood) of every row."""
+    sent = docs.sparkSession.sparkContext.broadcast(replace(model, rows=None))  # a fixed size, about 5 MB
     kind = docs.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        for c in chunks(batches):
-            b, first = _buckets(c)
-            k = m.class_of[b].astype(np.int64)
-            left, right = _sides(k, first)
-            each = m.log_table[(left * CLASSES + right) * CLASSES + k].astype(np.float64) + m.log_share[b]
-            total = np.bincount(owner(first), each, len(c)) if len(b) else np.zeros(len(c))
-            n = np.diff(first).astype(np.int64)
-            yield pa.RecordBatch.from_pydict({"id": c.ids, "n_tokens": n, "log_likelihood": np.round(total, 4), "mean_log_likelihood": pa.array(np.round(total / np.maximum(n, 1), 6), mask=n == 0)})
-
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double").withColumnRenamed("id", id_col)
+    rows = _rows(docs, id_col, text_col)
+    same = rows.sameSemantics(model.rows)
+
+    def dealt(x: DataFrame) -> DataFrame:
+        return x.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups(x, GROUP_BYTES // 2))).cast("int"))
+
+    given, pieces = dealt(rows), groups(model.rows)
+    messages = _messages(given, pieces, sent, asks=True, tells=same)
+    if not same:
+        messages = messages.unionByName(_messages(dealt(model.rows), pieces, sent, asks=False, tells=True))
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, words, first = _read(table)
+        total = np.zeros(len(first) - 1)
+        if len(words):
+            total = np.bincount(owner(first), _likelihoods(words, first, answers, sent.value, int(same)), len(total))
+        n = np.diff(first).astype(np.int64)
+        return pa.table({"id": pa.chunked_array(ids, table.schema.field("doc_id").type), "n_tokens": n, "log_likelihood": np.round(total, 4), "mean_log_likelihood": pa.array(np.round(total / np.maximum(n, 1), 6), mask=n == 0)})
+
+    scored = given.groupBy("g").cogroup(_answers(messages).groupBy("g")).applyInArrow(run, f"id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    return scored.withColumnRenamed("id", id_col)
 
 
 __all__ = ["CLASSES", "Model", "assign", "fit", "score", "train"]

@@ -1,12 +1,13 @@
 """Models that keep all of what they count: held against brute force."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
-from postatlas.llm import url_filter
+from postatlas.llm import lm_score, url_filter
+from postatlas.llm.textcore import chunks
 from tests.conftest import SF
 
 
@@ -53,3 +54,49 @@ def test_url_threshold_reads_the_other_fold(spark):
     for fold in (0, 1):
         of = by_hand([(t, v) for t, v, n, f, _ in texts if f != fold for _ in range(n)], url_filter.ORDER)
         assert all(got[i].held == pytest.approx(of(t), abs=1e-8) for t, _, _, f, i in texts if f == fold)
+
+
+def test_lm_scores_condition_the_token(spark):
+    rnd = random.Random(2)
+    names = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(rnd.choice(names) for _ in range(rnd.randint(1, 90)))) for i in range(120)] + [(200, None), (None, "w1 w2"), (201, "one"), (202, "w5 w6 w5 w6 w5")]
+    rows += [(300, rows[3][1]), (301, rows[40][1] + " tail")]
+    w = rows[3][1].split()
+    held = [(1, " ".join(w)), (2, " ".join(sorted(w))), (3, "never seen")]  # 2: the same words in another order
+    docs, other = (spark.createDataFrame(x, "doc_id long, text string") for x in (rows, held))
+    model = lm_score.fit(docs, epochs=5)
+    table = model.log_table.reshape(lm_score.CLASSES, lm_score.CLASSES, -1)
+    of = {}
+    for c in chunks(docs.toArrow().to_batches()):
+        hashes, _ = lm_score._hashes(c)
+        of |= dict(zip([x for t in c.texts() for x in t.split()], model.class_of[lm_score._bucket(hashes)].tolist()))
+    for c in chunks(other.toArrow().to_batches()):
+        hashes, _ = lm_score._hashes(c)
+        of |= dict(zip([x for t in c.texts() for x in t.split()], model.class_of[lm_score._bucket(hashes)].tolist()))
+    one, two, vocabulary = Counter(), Counter(), Counter()
+    for _, t in rows:
+        x = (t or "").split()
+        one.update(x)
+        two.update(zip(x, x[1:]))
+    for x in one:
+        vocabulary[of[x]] += 1
+    mass = Counter()
+    for x, n in one.items():
+        mass[of[x]] += n
+
+    def by_hand(t, own):
+        x, out = (t or "").split(), 0.0
+        for k, y in enumerate(x):
+            left, right = x[k - 1] if k else None, x[k + 1] if k + 1 < len(x) else None
+            share = (max(0, one[y] - own) + 0.5) / (max(0, mass[of[y]] - own) + 0.5 * (vocabulary[of[y]] + 1))
+            first = math.exp(table[of.get(left, 0), of.get(right, 0), of[y]]) * share
+            pairs = sum(max(0, two[p] - own) for p in ((left, y), (y, right)) if None not in p)
+            out += math.log((pairs + lm_score.PRIOR * first) / (sum(max(0, one[z] - own) for z in (left, right) if z) + lm_score.PRIOR))
+        return out
+
+    for df, want, own in ((docs, rows, 1), (other, held, 0)):
+        got = {r.doc_id: r for r in lm_score.score(df, model).collect()}
+        assert len(got) == len(want)
+        for i, t in want:
+            assert got[i].log_likelihood == pytest.approx(by_hand(t, own), abs=2e-3), i
+    assert got[1].log_likelihood > got[2].log_likelihood + 1  # order within a class matters
