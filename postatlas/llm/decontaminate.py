@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textcore import ALNUM_WORDS, CHUNK_BYTES, LOWER, U64, Chunk, chunks, covered, mix, owner, runs, split_words, utf8, word_hashes
+from .textcore import ALNUM_WORDS, CHUNK_BYTES, LOWER, U64, Chunk, Spans, chunks, covered, mix, owner, runs, split_words, utf8, word_hashes
 
 #: Benchmark text sent to the tasks at once.
 PASS_BYTES = 16 << 20
@@ -113,8 +113,8 @@ class Tests:
         return test[inside], where[inside]
 
 
-def shard(c: Chunk, tests: Tests) -> pa.RecordBatch:
-    """The matches of one shard, a row for each document."""
+def shard(c: Chunk, tests: Tests, tagged: bool = False) -> pa.RecordBatch:
+    """The matches of one shard, a row for each document; tag is the text's fingerprint, or 0."""
     words, first = _words(c.buf, c.offs)
     test, where = tests.search(words, first)
     n = len(c)
@@ -150,7 +150,7 @@ def shard(c: Chunk, tests: Tests) -> pa.RecordBatch:
             matches[d].append({"item": tests.names[i], "word": w, "words": m})
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     match_type = pa.list_(pa.struct([("item", pa.string()), ("word", pa.int32()), ("words", pa.int32())]))
-    return pa.RecordBatch.from_pydict({"id": c.ids, "tag": pa.array(np.zeros(n, np.int64)), "n_words": np.diff(first).astype(np.int64), "spans": pa.array(spans, span_type), "items": pa.array(items, pa.list_(pa.string())), "matches": pa.array(matches, match_type)})
+    return pa.RecordBatch.from_pydict({"id": c.ids, "tag": pa.array(Spans(c.buf).hash(c.offs[:-1], c.offs[1:]).view(np.int64) if tagged else np.zeros(n, np.int64)), "n_words": np.diff(first).astype(np.int64), "spans": pa.array(spans, span_type), "items": pa.array(items, pa.list_(pa.string())), "matches": pa.array(matches, match_type)})
 
 
 def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,13 +183,13 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, pass
 
         def run(batches: Iterable[pa.RecordBatch], built=built) -> Iterator[pa.RecordBatch]:
             for c in chunks(batches, 2 * CHUNK_BYTES):
-                yield shard(c, built.value)
+                yield shard(c, built.value, passes > 1)
 
         found = rows.mapInArrow(run, f"id {kind}, tag long, {FOUND}")
         out = found if out is None else out.unionByName(found)
     if passes > 1:
-        # a row of the input has one row in each pass; equal ids and lengths are told apart by their order of matches only, so they are united
-        g = out.groupBy("id", "n_words").agg(F.collect_list("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("matches")).alias("matches"), (F.count("*") / F.lit(passes)).cast("int").alias("copies"))
+        # a row of the input has one row in each pass; rows of one id and one text have the same matches, so they are united
+        g = out.groupBy("id", "n_words", "tag").agg(F.collect_list("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("matches")).alias("matches"), (F.count("*") / F.lit(passes)).cast("int").alias("copies"))
         g = g.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("id", F.lit(0).cast("long").alias("tag"), "n_words", "spans", "items", "matches")
         flat = f"id {kind}, tag long, {FOUND}"
         out = g.mapInArrow(_merged, flat)
