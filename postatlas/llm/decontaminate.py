@@ -10,25 +10,31 @@ Words are lower-cased (A-Z) runs of letters, digits and characters beyond
 ASCII.  A window is ``window`` consecutive words of an item; an item of fewer
 words, but not none, is one window.
 
-Scale: documents are only scanned, nothing is shuffled.  Test items are sent to
-the tasks in passes of at most ``pass_bytes`` of text each, however large the
-benchmark is; several passes are united per document by a group-by.
-
-Edge cases: null texts have no words; items without words match nothing; a
-repeated item_id counts once; repeated documents are judged each; an empty
-benchmark hits nothing; an empty table gives an empty one; ids may be null.
+Scale: documents are only scanned; texts are never shuffled.  Test items are
+sent to the tasks in passes of at most ``pass_bytes`` of text each, however
+large the benchmark is, one pass after another: the driver holds the items of
+one pass.  With several passes, only the keys of documents and the rows that
+were hit are grouped.
+
+Edge cases: null texts have no words; items without words match nothing; an
+item without an item_id hits words, but is not an item of any list; a repeated
+item_id counts once; repeated documents are judged each; an empty benchmark
+hits nothing; an empty table gives an empty one; ids may be null (documents are
+told apart by their texts); columns beyond id and text pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scale import checkpoint_dir
 from .textcore import ALNUM_WORDS, CHUNK_BYTES, LOWER, U64, Chunk, Spans, chunks, covered, mix, owner, runs, split_words, utf8, word_hashes
 
 #: Benchmark text sent to the tasks at once.
@@ -66,12 +72,12 @@ class Tests:
     start: np.ndarray
     depth: np.ndarray
     item: np.ndarray
-    names: list[str]
+    names: list[str | None]
     firsts: np.ndarray
     pairs: np.ndarray
 
     @classmethod
-    def build(cls, ids: list[str], texts: list[str | None], window: int) -> Tests:
+    def build(cls, ids: list[str | None], texts: list[str | None], window: int) -> Tests:
         words, first = _words(*utf8(pa.array(texts, pa.string())))
         size = np.diff(first)
         n = np.where(size >= window, size - window + 1, np.minimum(size, 1))
@@ -146,6 +152,8 @@ def shard(c: Chunk, tests: Tests, tagged: bool = False) -> pa.RecordBatch:
             if m > best.get((d, i), (0, 0))[0]:
                 best[d, i] = (m, w - int(first[d]))
         for (d, i), (m, w) in sorted(best.items()):
+            if tests.names[i] is None:
+                continue
             items[d].append(tests.names[i])
             matches[d].append({"item": tests.names[i], "word": w, "words": m})
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -168,32 +176,49 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.set_column(b.schema.get_field_index("spans"), "spans", pa.array(out, b.column("spans").type.value_type))
 
 
-def find_matches(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, pass_bytes: int = PASS_BYTES, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """For every document: (id, n_words, spans, items, matches); matches are the longest of each item with their places in words."""
-    tests = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("item is not null and text is not null").distinct()
+def _passes(benchmark: DataFrame, window: int, pass_bytes: int, item_id: str, item_text: str) -> tuple[int, Callable[[int], Broadcast]]:
+    """The number of passes, and what sends the test suffixes of one; all rows of an item are in one pass."""
+    tests = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null").distinct()
     total = tests.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     passes = max(1, -(-int(total) // pass_bytes))
+
+    def sent(k: int) -> Broadcast:
+        part = tests if passes == 1 else tests.where(F.pmod(F.coalesce(F.xxhash64("item"), F.xxhash64("text")), F.lit(passes)) == k)
+        got = part.orderBy("item", "text").collect()  # about pass_bytes
+        return benchmark.sparkSession.sparkContext.broadcast(Tests.build([r[0] for r in got], [r[1] for r in got], window))
+
+    return passes, sent
+
+
+def find_matches(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, pass_bytes: int = PASS_BYTES, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """For every document: (id, n_words, spans, items, matches); matches are the longest of each item with their places in words."""
+    passes, sent = _passes(benchmark, window, pass_bytes, item_id, item_text)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = None
-    for k in range(passes):
-        part = tests if passes == 1 else tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k)
-        got = part.orderBy("item", "text").collect()  # about pass_bytes
-        built = docs.sparkSession.sparkContext.broadcast(Tests.build([r[0] for r in got], [r[1] for r in got], window))
 
-        def run(batches: Iterable[pa.RecordBatch], built=built) -> Iterator[pa.RecordBatch]:
+    def found(built: Broadcast) -> DataFrame:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c in chunks(batches, 2 * CHUNK_BYTES):
                 yield shard(c, built.value, passes > 1)
 
-        found = rows.mapInArrow(run, f"id {kind}, tag long, {FOUND}")
-        out = found if out is None else out.unionByName(found)
-    if passes > 1:
-        # a row of the input has one row in each pass; rows of one id and one text have the same matches, so they are united
-        g = out.groupBy("id", "n_words", "tag").agg(F.collect_list("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("matches")).alias("matches"), (F.count("*") / F.lit(passes)).cast("int").alias("copies"))
-        g = g.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("id", F.lit(0).cast("long").alias("tag"), "n_words", "spans", "items", "matches")
-        flat = f"id {kind}, tag long, {FOUND}"
-        out = g.mapInArrow(_merged, flat)
-    return out.drop("tag").withColumnRenamed("id", id_col)
+        return rows.mapInArrow(run, f"id {kind}, tag long, {FOUND}")
+
+    if passes == 1:
+        return found(sent(0)).drop("tag").withColumnRenamed("id", id_col)
+    checkpoint_dir(docs.sparkSession)
+    key, hits = ["id", "tag", "n_words"], None
+    for k in range(passes):
+        built = sent(k)
+        # rows of one id and one text have the same matches
+        part = found(built).where("size(spans) > 0").dropDuplicates(key).checkpoint()
+        built.destroy()
+        hits = part if hits is None else hits.unionByName(part)
+    united = hits.groupBy(*key).agg(F.collect_list("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("matches")).alias("matches"))
+    united = united.mapInArrow(_merged, f"id {kind}, tag long, {FOUND}").select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "spans", "items", "matches")
+    nothing = docs.sparkSession.sparkContext.broadcast(Tests.build([], [], window))
+    out = found(nothing).select(*key).join(united, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left")
+    empty = {f.name: F.coalesce(f.name, F.array().cast(f.dataType)) for f in united.schema if f.name in ("spans", "items", "matches")}
+    return out.select("id", "n_words", *(x.alias(c) for c, x in empty.items())).withColumnRenamed("id", id_col)
 
 
 def judged(found: DataFrame, *, min_items: int = 2) -> DataFrame:
@@ -209,8 +234,33 @@ def judged(found: DataFrame, *, min_items: int = 2) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_items: int = 2) -> DataFrame:
-    """The documents that are not contaminated, with their own columns; documents without an id are kept."""
-    verdicts = judged(find_matches(docs, benchmark, window=window), min_items=min_items)
-    bad = verdicts.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min_items: int = 1, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """The documents hit by fewer than ``min_items`` items, with their own columns, each judged in the scan that reads it.
+
+    One scan for each pass over the benchmark; hits are counted in an added
+    column until the last.  An item without an id has no part in the count.
+    """
+    passes, sent = _passes(benchmark, window, pass_bytes, "item_id", "text")
+    count = "_items"
+    while count in docs.columns:
+        count = f"_{count}"
+    out = docs.withColumn(count, F.lit(0))
+    if passes > 1:
+        checkpoint_dir(docs.sparkSession)
+    for k in range(passes):
+        built = sent(k)
+
+        def run(batches: Iterable[pa.RecordBatch], built: Broadcast = built) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                plain = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.string())], names=["doc_id", "text"])
+                hits = [shard(c, built.value).column("items") for c in chunks([plain], 2 * CHUNK_BYTES)]
+                n = np.concatenate([np.zeros(0, np.int32), *(h.value_lengths().to_numpy(zero_copy_only=False) for h in hits)]).astype(np.int32)
+                n += batch.column(count).to_numpy(zero_copy_only=False)
+                at = batch.schema.get_field_index(count)
+                yield batch.set_column(at, count, pa.array(n)).filter(pa.array(n < min_items))
+
+        out = out.mapInArrow(run, out.schema)
+        if passes > 1:
+            out = out.checkpoint()
+            built.destroy()
+    return out.drop(count)

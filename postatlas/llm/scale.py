@@ -1,33 +1,47 @@
-"""Sizing: how many pieces a job is cut into, from the plan's own size estimate."""
+"""Sizing: how many pieces a job is cut into, from the size of what it reads."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Input bytes (as stored, compressed) that one group of documents should hold.
 GROUP_BYTES = 4 << 20
-MAX_GROUPS = 1 << 20
+_UNKNOWN = 1 << 60
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """The optimiser's size estimate; None where it has none (then it is near 2^63)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 1 << 60 else None
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes behind a plan: the optimiser's estimate or the sum over what the plan reads, whichever is less.
+
+    Joins multiply estimates and some sources have none (then they are near
+    2^63); where both fail, the strings of the rows are measured by a job.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    size = min(read, int(str(plan.stats().sizeInBytes())))
+    if size < _UNKNOWN:
+        return size
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    return int(df.agg(F.sum(sum(texts, F.lit(8)))).first()[0] or 0)
 
 
 def groups(df: DataFrame, each: int = GROUP_BYTES) -> int:
     """Odd number of groups for documents or keys: at least the session's shuffle partitions, growing with the input."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = plan_bytes(df)
-    want = parts if size is None else max(parts, -(-size // each))
-    return min(MAX_GROUPS, want) | 1
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(parts, -(-plan_bytes(df) // each)) | 1
 
 
-def checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; set a local one only where none is set (tests)."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; a local one only on a local master where none is set (tests)."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            import tempfile
+
+            shared = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
