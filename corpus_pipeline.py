@@ -1,7 +1,17 @@
-"""Corpus pipeline: five stages over documents, each written as Parquet and read again by the next."""
+"""Corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
+
+Edge cases: a null or empty text fails the base rules and goes in the first
+stage; documents without an id pass the rules by their text and are compared
+with nothing later, so they reach the last stage; repeated rows stay until the
+join, which keeps all rows of the document that stays; other columns pass
+through whatever their names, up to the last stage; an empty table gives an
+empty one; without labels the base rules decide alone.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with passages of two or more benchmark items go."""
+    """Documents with a passage of any benchmark item go."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -50,14 +60,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; stages are written under the shared checkpoint folder."""
-    checkpoint_dir(spark)
-    base = f"{spark.sparkContext.getCheckpointDir()}/corpus_pipeline_{spark.sparkContext.applicationId}"
-    number = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
+    base = f"{checkpoint_dir(spark)}/corpus_pipeline_{uuid.uuid4()}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = f"{base}_{number}/{k}_{name}"
+            path = f"{base}/{k}_{name}"
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
     return docs
