@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, lm_score, ngram_join, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, url_filter
+from . import decontaminate, line_dedup, lm_score, ngram_join, oracles, quality, sentencepiece_codec, substring_dedup, suffix_dedup, token_counts, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,4 +68,4 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_line_dedup, op3_quality_rules, op4_sentencepiece, op5_token_counts, op6_decontaminate, op7_url_filter, op8_substring_dedup, op9_lm_score, op10_ngram_join)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES

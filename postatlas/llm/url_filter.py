@@ -8,7 +8,7 @@ context totals are sums over all of them.  Grams are interpolated with the next
 shorter order (Witten-Bell); a gram that training lacks has the probabilities
 of its suffix.  A URL's log-likelihood difference is a sum over its characters,
 divided by its length, and is compared with a threshold calibrated on the
-rules' URLs (largest balanced accuracy over a fixed grid).  As a model knows
+rules' URLs (largest balanced accuracy over steps of a fixed width).  As a model knows
 all grams of its own training URLs, the threshold reads differences of two
 folds, each under the counts of the other.
 
@@ -55,6 +55,11 @@ def rule(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...] = R
     return name, verdict
 
 
+def fold(chars: Column) -> Column:
+    """0 or 1 by the text's hash."""
+    return F.when(F.substr(F.md5(chars), F.lit(1), F.lit(1)).isin(*"02468ace"), 0).otherwise(1)
+
+
 def windows(texts: DataFrame, order: int, *keep: str) -> DataFrame:
     """One row for each character of ``chars``: the up to ``order`` characters ending at it."""
     n = F.length("chars")
@@ -110,9 +115,9 @@ def differences(texts: DataFrame, values: DataFrame, order: int = ORDER) -> Data
 
 
 def threshold(scored: DataFrame, grid: int = GRID) -> DataFrame:
-    """One row with ``cut``: the grid value with the largest balanced accuracy on the rules' URLs (the lowest of equals)."""
-    known = scored.where("verdict is not null").select((F.col("verdict") == "allow").alias("good"), F.floor(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("held"))) * (grid // 2)).cast("int").alias("bin"))
-    by_bin = known.groupBy("bin").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))  # at most grid + 1 rows
+    """One row with ``cut``: the multiple of 2 / ``grid`` with the largest balanced accuracy on the rules' URLs (the lowest of equals)."""
+    known = scored.where("verdict is not null").select((F.col("verdict") == "allow").alias("good"), F.floor(F.col("held") * (grid // 2)).cast("int").alias("bin"))
+    by_bin = known.groupBy("bin").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))  # a difference is a mean of logarithms of counts: a few thousand bins at most
     pairs = by_bin.agg(F.array_sort(F.collect_list(F.struct("bin", "g", "b"))).alias("bins"), F.sum("g").alias("ng"), F.sum("b").alias("nb"))
     # walking up the bins: a cut at a bin accepts it and what lies above
     start = F.struct(F.lit(0).cast("long").alias("g"), F.lit(0).cast("long").alias("b"), F.lit(-1.0).alias("best"), F.lit(None).cast("int").alias("bin"))
@@ -134,7 +139,7 @@ def judge(pages: DataFrame, *, order: int = ORDER, id_col: str = "page_id", url_
     # equal host and path have one difference: scored once, joined back by them
     rows = split.select("*", name.alias("rule"), verdict.alias("verdict"))
     row = F.struct(F.xxhash64("host", "path").alias("x"), F.xxhash64(F.lit("row"), "path", "host").alias("y"))
-    texts = rows.groupBy("host", "path", "rule", "verdict").agg(F.count("*").alias("n")).select("*", F.concat("host", "path").alias("chars"), row.alias("row"), F.pmod(F.xxhash64("path", "host"), F.lit(2)).alias("fold"))
+    texts = rows.groupBy("host", "path", "rule", "verdict").agg(F.count("*").alias("n")).select("*", F.concat("host", "path").alias("chars"), row.alias("row"), fold(F.concat("host", "path")).alias("fold"))
     checkpoint_dir(pages.sparkSession)
     scored = differences(texts, fit(counted(texts, order)), order).checkpoint()  # used twice: for the threshold and for the verdicts
     cut = threshold(scored)
