@@ -55,22 +55,25 @@ def _text(s: str) -> str:
 _names = ", ".join(f"({k}, {_text(n)})" for k, n in enumerate(NAMES))
 _gaz = ", ".join(f"({o}, {lat}::DOUBLE, {lon}::DOUBLE, {_text(label)}, {_text(pref)}, {_text(kind)}, {prio})" for o, _, lat, lon, label, pref, kind, prio in rows())
 _gname = ", ".join(f"({o}, {p}, {_text(n)})" for o, names, *_ in rows() for p, n in enumerate(names))
-#: CTEs of the oracle: posts, the gazetteer, and the estimate of each post.
-WITH = f"""WITH names(k, name) AS (VALUES {_names}),
+#: CTEs of the oracle: the gazetteer, then posts.
+PLACES_SQL = f"""WITH names(k, name) AS (VALUES {_names}),
 gaz(gord, glat, glon, label, pref, kind, prio) AS (VALUES {_gaz}),
 gname(gord, pos, name) AS (VALUES {_gname}),
-posts AS (SELECT d.doc_id AS ord, 'doc:' || d.doc_id AS id, CASE WHEN d.doc_id % 2 = 0 THEN 'mastodon' ELSE 'x' END AS source,
+"""
+POSTS_SQL = f"""posts AS (SELECT d.doc_id AS ord, 'doc:' || d.doc_id AS id, CASE WHEN d.doc_id % 2 = 0 THEN 'mastodon' ELSE 'x' END AS source,
   CASE WHEN d.doc_id % 2 = 0 THEN 'Mastodon (demo)' ELSE 'X (Twitter)' END AS "sourceLabel",
   CASE WHEN d.doc_id % 3 <> 0 THEN 'https://e.example/?a=1&b=' || d.doc_id END AS url,
-  substr(d.text, 1, 200) || CASE WHEN d.doc_id % 5 <> 0 THEN ' ' || n.name ELSE '' END AS text,
+  d.text || CASE WHEN d.doc_id % 5 <> 0 THEN ' ' || n.name ELSE '' END AS text,
   [d.lang, d.source] AS tags, strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS "createdAt", date_trunc('milliseconds', e.ts) AS ts,
   'user ' || e.user_id AS author, CASE WHEN d.doc_id % 4 <> 0 THEN '@u' || e.user_id ELSE '' END AS "authorHandle",
-  '/images/ramen-' || lpad(CAST(d.doc_id % 10 AS VARCHAR), 2, '0') || '.svg' AS image, CASE WHEN d.doc_id % 2 = 0 THEN '/full.svg' ELSE '' END AS "imageFull",
+  '/images/ramen-' || lpad(CAST(d.doc_id % 10 AS VARCHAR), 2, '0') || '.svg' AS image, CASE WHEN d.doc_id % 2 = 0 THEN '/full.svg' ELSE '' END AS "imageFull", NULL::VARCHAR AS "authorLocation",
   CASE WHEN d.doc_id % 7 = 0 THEN 26.0::DOUBLE + CAST(d.doc_id * 37 % 1700 AS DOUBLE) / 100 END AS tlat,
   CASE WHEN d.doc_id % 7 = 0 THEN 128.0::DOUBLE + CAST(d.doc_id * 53 % 1500 AS DOUBLE) / 100 END AS tlon
   FROM documents d JOIN events e ON e.event_id = d.doc_id JOIN names n ON n.k = d.doc_id % {len(NAMES)}),
-tnow AS (SELECT date_trunc('milliseconds', max(ts)) AS now FROM events),
-hay AS (SELECT ord, text || ' ' || array_to_string(tags, ' ') AS h FROM posts WHERE tlat IS NULL),
+"""
+#: CTEs after ``posts``: now, and the estimate of each post.
+ESTIMATES = """tnow AS (SELECT date_trunc('milliseconds', max(ts)) AS now FROM events),
+hay AS (SELECT ord, array_to_string(list_filter([text, array_to_string(tags, ' '), "authorLocation"], lambda x: x IS NOT NULL AND x <> ''), ' ') AS h FROM posts WHERE tlat IS NULL),
 hits AS (SELECT h.ord, g.gord, arg_min(g.name, g.pos) AS name FROM hay h JOIN gname g ON contains(h.h, g.name) GROUP BY ALL),
 best AS (SELECT x.ord, arg_max(x.gord, (g.prio * 100 + length(x.name), -x.gord)) AS gord, max(g.prio * 100 + length(x.name)) AS score FROM hits x JOIN gaz g USING (gord) GROUP BY x.ord),
 cand AS (SELECT p.ord, g.gord, g.prio, (g.glat - p.tlat) * (g.glat - p.tlat) + (g.glon - p.tlon) * (g.glon - p.tlon) AS d FROM posts p, gaz g WHERE p.tlat IS NOT NULL),
@@ -86,3 +89,4 @@ est AS (SELECT p.*, COALESCE(p.tlat, g.glat + (j.a - 0.5::DOUBLE) * 0.1::DOUBLE)
   FROM posts p JOIN jit j USING (ord) LEFT JOIN best b USING (ord) LEFT JOIN gaz g ON g.gord = b.gord LEFT JOIN near n ON n.ord = p.ord LEFT JOIN gaz ng ON ng.gord = n.gord),
 loc AS (SELECT * FROM est WHERE method IS NOT NULL)
 """
+WITH = PLACES_SQL + POSTS_SQL + ESTIMATES
