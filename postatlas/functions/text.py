@@ -16,14 +16,18 @@ def either(a: Column, b: Column) -> Column:
     return F.coalesce(truthy(a), b)
 
 
+#: White space as a regular expression class has it in JSON's home language: U+FEFF belongs to it, U+0085 does not.
+WHITE = r"\t-\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
+
+
 def trim_unicode(x: Column) -> Column:
-    return F.regexp_replace(x, r"(?U)^[\s﻿]+|[\s﻿]+$", "")
+    return F.regexp_replace(x, f"^[{WHITE}]+|[{WHITE}]+$", "")
 
 
 def html_to_text(html: Column) -> Column:
     """Line breaks for <br> and </p>, no tags, five entities decoded (&amp; first), single line feeds, trimmed."""
     x = F.coalesce(html, F.lit(""))
-    x = F.regexp_replace(x, r"(?iU)<br\s*/?>", "\n")
+    x = F.regexp_replace(x, f"(?i)<br[{WHITE}]*/?>", "\n")
     x = F.regexp_replace(x, r"(?i)</p>", "\n")
     x = F.regexp_replace(x, r"<[^>]+>", "")
     for entity, char in (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")):
@@ -32,7 +36,7 @@ def html_to_text(html: Column) -> Column:
 
 
 def hashtags(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r"(?U)#([^\s#]+)"), 1)
+    return F.regexp_extract_all(text, F.lit(f"#([^{WHITE}#]+)"), 1)
 
 
 def haystack(text: Column, tags: Column, location: Column) -> Column:

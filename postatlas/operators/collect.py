@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import either
 from ..functions.times import in_window, iso, parse_time
 from ..schemas import LOCATED_POST, RAW_POST
+from ..shared import checkpoint_dir, unused
 from .locate import with_estimate
 
 
@@ -49,8 +50,9 @@ def with_fallback(recent: DataFrame, sample: DataFrame, enabled: bool) -> DataFr
     recent = recent.withColumn("demo", F.lit(False))
     if not enabled:
         return recent
-    some = recent.limit(1).agg(F.count("*").alias("_n"))
-    stand_in = sample.crossJoin(F.broadcast(some)).where("_n = 0").drop("_n").withColumn("demo", F.lit(True))
+    n = unused("_n", sample.columns)
+    some = recent.limit(1).agg(F.count("*").alias(n))
+    stand_in = sample.crossJoin(F.broadcast(some)).where(F.col(n) == 0).drop(n).withColumn("demo", F.lit(True))
     return recent.unionByName(stand_in)
 
 
@@ -72,10 +74,10 @@ def with_rank(posts: DataFrame) -> DataFrame:
 
     A global rank needs a total order; positions come from a range-partitioned
     sort: rows are counted per partition, so no single task sees all of them.
+    The sorted rows are checkpointed, since both counts and ranks read them.
     """
-    ordered = newest_first(posts).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    spark = posts.sparkSession
-    ordered = ordered.checkpoint() if spark.sparkContext.getCheckpointDir() else ordered
+    checkpoint_dir(posts.sparkSession)
+    ordered = newest_first(posts).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
     sizes = ordered.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     before = sizes.select("_part", "_first", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row for each partition
     out = ordered.join(F.broadcast(before), "_part")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import finite, jitter, squared_distance
 from ..functions.text import haystack
+from ..shared import let
 from ..sources.gazetteer import literal
 
 RADIUS = 0.5  # squared degrees, strict
@@ -19,15 +20,21 @@ BAND = 0.0004  # squared degrees within which a narrower kind wins
 
 def best_place(text: Column) -> Column:
     """The place with the highest score: kind first, then the length of its first listed name that occurs; ties go to the first place."""
-    scored = F.transform(literal(), lambda p: F.struct((p["prio"] * 100 + F.length(F.get(F.filter(p["names"], lambda n: F.contains(text, n)), F.lit(0)))).alias("score"), (-p["ord"]).alias("back"), p["lat"].alias("lat"), p["lon"].alias("lon"), p["label"].alias("label"), p["pref"].alias("pref"), p["kind"].alias("kind")))
-    return F.array_max(F.filter(scored, lambda s: s["score"].isNotNull()))
+    def search(t: Column) -> Column:
+        scored = F.transform(literal(), lambda p: F.struct((p["prio"] * 100 + F.length(F.get(F.filter(p["names"], lambda n: F.contains(t, n)), F.lit(0)))).alias("score"), (-p["ord"]).alias("back"), p["lat"].alias("lat"), p["lon"].alias("lon"), p["label"].alias("label"), p["pref"].alias("pref"), p["kind"].alias("kind")))
+        return F.array_max(F.filter(scored, lambda s: s["score"].isNotNull()))
+
+    return let(text, search)
 
 
 def nearest_place(lat: Column, lon: Column) -> Column:
     """The nearest place within the radius; among those as near as the band, the narrowest kind, then the first."""
-    near = F.filter(F.transform(literal(), lambda p: F.struct(squared_distance(p["lat"], p["lon"], lat, lon).alias("d"), p["prio"].alias("prio"), (-p["ord"]).alias("back"), p["label"].alias("label"), p["pref"].alias("pref"))), lambda s: s["d"] < RADIUS)
-    least = F.array_min(F.transform(near, lambda s: s["d"]))
-    return F.array_max(F.transform(F.filter(near, lambda s: s["d"] - least < BAND), lambda s: F.struct(s["prio"].alias("prio"), s["back"].alias("back"), s["label"].alias("label"), s["pref"].alias("pref"))))
+    nearby = F.filter(F.transform(literal(), lambda p: F.struct(squared_distance(p["lat"], p["lon"], lat, lon).alias("d"), p["prio"].alias("prio"), (-p["ord"]).alias("back"), p["label"].alias("label"), p["pref"].alias("pref"))), lambda s: s["d"] < RADIUS)
+
+    def narrowest(near: Column) -> Column:
+        return let(F.array_min(F.transform(near, lambda s: s["d"])), lambda least: F.array_max(F.transform(F.filter(near, lambda s: s["d"] - least < BAND), lambda s: F.struct(s["prio"].alias("prio"), s["back"].alias("back"), s["label"].alias("label"), s["pref"].alias("pref")))))
+
+    return let(nearby, narrowest)
 
 
 def confidence(method: Column, kind: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import confidence_class, confidence_label, either, escape_html, guard_script, image_number, method_label, to_fixed
 from ..functions.times import is_fresh, parse_time, time_ago
+from .collect import last_by
 
 WIDTH, PAD = 1000.0, 20.0
 
@@ -58,6 +59,11 @@ def svg_paths(shapes: DataFrame, bounds: DataFrame) -> DataFrame:
     return shapes.crossJoin(F.broadcast(projection(bounds))).select("feature", "name", d.alias("d"))
 
 
+def page_order(pins: DataFrame) -> DataFrame:
+    """The list of the static page: newest first by epoch milliseconds, ties in input order (``ord``)."""
+    return pins.orderBy(F.col("createdAt").desc(), F.col("ord").asc())
+
+
 def display_rows(posts: DataFrame, now: Column) -> DataFrame:
     """What a tooltip or list item shows of each located post, escaped."""
     ts = parse_time(F.col("createdAt"))
@@ -89,18 +95,20 @@ def rehydrate(pins: DataFrame, images: DataFrame, now: Column) -> DataFrame:
 
 
 def image_table(files: DataFrame) -> DataFrame:
-    """(img, uri) from rows of path and content (binary), as a binaryFile scan gives them."""
+    """(img, uri) from rows of path and content (binary), as a binaryFile scan gives them; of one number the last path counts."""
     from ..functions.text import encode_uri
 
     named = files.where(F.col("path").rlike(r"ramen-(\d+)\.svg"))
-    return named.select(image_number(F.col("path")).alias("img"), F.concat(F.lit("data:image/svg+xml;utf8,"), encode_uri(F.decode("content", "UTF-8"))).alias("uri"))
+    rows = named.select(image_number(F.col("path")).alias("img"), F.concat(F.lit("data:image/svg+xml;utf8,"), encode_uri(F.decode("content", "UTF-8"))).alias("uri"), "path")
+    return last_by(rows, "img", "path").select("img", "uri")
 
 
 def static_page(template: str, geojson: DataFrame, pins: DataFrame, images: DataFrame) -> DataFrame:
     """One row ``html``: the template with its three placeholders filled; geojson has one row of ``json``."""
     row = {"ignoreNullFields": "false"}
     posts = pins.agg(F.to_json(F.coalesce(F.collect_list(F.struct(*pins.columns)), F.array()), row).alias("posts"))
-    table = images.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("img", "uri")))).alias("images"))
+    one = images.groupBy("img").agg(F.max("uri").alias("uri"))  # a map has no key twice
+    table = one.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("img", "uri")))).alias("images"))
     page = geojson.select(guard_script(F.col("json")).alias("geo")).crossJoin(posts).crossJoin(table)
     html = F.lit(template)
     for mark, value in (("/*__GEOJSON__*/", "geo"), ("/*__POSTS__*/", "posts"), ("/*__IMAGES__*/", "images")):

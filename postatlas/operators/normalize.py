@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import bbox_center, point
 from ..functions.text import either, html_to_text, truthy
 from ..schemas import RAW_POST
-from .collect import first_by, last_by
+from .collect import first_by
 
 
 def images(media: Column) -> Column:
@@ -44,24 +44,31 @@ def normalize_mastodon(statuses: DataFrame) -> DataFrame:
     ).select("ord", *RAW_POST)
 
 
+def _last(table: Column, key: str, value: Column) -> Column:
+    """The last element with this key; null without one."""
+    return F.get(F.reverse(F.filter(table, lambda m: m[key] == value)), F.lit(0))
+
+
 def normalize_x(responses: DataFrame) -> DataFrame:
     """Search responses (one row each) to RawPost (with ord), without posts that have no media.
 
-    Media, users and places are looked up by key, the last of equal keys wins.
+    Media, users and places of a response are looked up inside its own row, so
+    nothing is joined; the last of equal keys wins.
     """
-    r = responses.withColumn("_r", F.monotonically_increasing_id())
-    tweets = r.select("_r", F.posexplode("data").alias("_o", "t"))
-    media, users, places = (last_by(r.select("_r", F.posexplode(f"includes.{n}").alias("_i", "v")).withColumn("_k", F.col("v")[k]), ["_r", "_k"], "_i").select("_r", "_k", F.col("v").alias(n)) for n, k in (("media", "media_key"), ("users", "id"), ("places", "id")))
-    keys = tweets.select("_r", "_o", F.posexplode("t.attachments.media_keys").alias("_p", "_k"))
-    m = F.col("media")
-    usable = (m["type"] == "photo") | truthy(m["url"]).isNotNull() | truthy(m["preview_image_url"]).isNotNull()
-    image = keys.join(media, ["_r", "_k"]).where(usable).groupBy("_r", "_o").agg(F.min_by("media", "_p").alias("img"))
-    t = tweets.join(image, ["_r", "_o"])
-    t = t.join(users.withColumnRenamed("_k", "_u"), (t["_r"] == users["_r"]) & (F.col("t.author_id") == F.col("_u")), "left").drop(users["_r"])
-    t = t.join(places.withColumnRenamed("_k", "_pl"), (t["_r"] == places["_r"]) & (F.col("t.geo.place_id") == F.col("_pl")), "left").drop(places["_r"])
+
+    def usable(m: Column) -> Column:
+        return (m["type"] == "photo") | truthy(m["url"]).isNotNull() | truthy(m["preview_image_url"]).isNotNull()
+
+    include = F.col("includes")
+
+    def looked_up(t: Column) -> Column:
+        media = F.filter(F.transform(t["attachments"]["media_keys"], lambda k: _last(include["media"], "media_key", k)), usable)
+        return F.struct(t.alias("t"), F.get(media, F.lit(0)).alias("img"), _last(include["users"], "id", t["author_id"]).alias("users"), _last(include["places"], "id", t["geo"]["place_id"]).alias("places"))
+
+    t = responses.select(F.explode(F.transform("data", looked_up)).alias("x")).select("x.*").where("img is not null")
     user, img = F.col("users"), F.col("img")
     return t.select(
-        (F.col("_r") * 1_000_000 + F.col("_o")).alias("ord"),
+        F.monotonically_increasing_id().alias("ord"),
         F.concat(F.lit("x:"), "t.id").alias("id"),
         F.lit("x").alias("source"),
         F.lit("X (Twitter)").alias("sourceLabel"),

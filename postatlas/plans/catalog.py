@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,10 @@ from ..functions import geo, text, times
 from ..operators import collect, locate, mapview
 from ..sources.gazetteer import places
 from ..sources.live import fan_out
-from ..sources.sample import sample_posts
+from ..sources.sample import SAMPLES, sample_posts
+from ..shared import checkpoint_dir
 from ..streaming import poll
-from .posts import WITH, latest, posts, table
+from .posts import ESTIMATES, PLACES_SQL, WITH, latest, posts, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,7 +47,8 @@ def window_filter_dirty_ts(spark: SparkSession, sf: str) -> DataFrame:
     return collect.window_filter(e, latest(spark, sf), 7 * _DAY).select("event_id")
 
 
-_WS = r"[\t-\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+"
+_WHITE = r"\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
+_WS = f"[{_WHITE}]+"
 _STRIP = "regexp_replace(regexp_replace({}, '(?i)<br[\\s]*/?>', chr(10), 'g'), '(?i)</p>', chr(10), 'g')"
 _TEXT = "regexp_replace(replace(replace(replace(replace(replace(regexp_replace(" + _STRIP + ", '<[^>]+>', '', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), chr(10) || '{{2,}}', chr(10), 'g')"
 
@@ -69,7 +72,7 @@ def entity_decode_order(spark: SparkSession, sf: str) -> DataFrame:
 _TAGGED = "'#' || lang || ' ' || source || '#x' || doc_id || chr(12288) || '#' || lang || ',y ##z'"
 
 
-@query(f"""SELECT doc_id, array_to_string(regexp_extract_all({_TAGGED}, '#([^\\s\\x{{3000}}#]+)', 1), '|') AS tags FROM documents""")
+@query(f"""SELECT doc_id, array_to_string(regexp_extract_all({_TAGGED}, '#([^{_WHITE}#]+)', 1), '|') AS tags FROM documents""")
 def hashtags(spark: SparkSession, sf: str) -> DataFrame:
     t = F.concat(F.lit("#"), "lang", F.lit(" "), "source", F.lit("#x"), "doc_id", F.lit("　#"), "lang", F.lit(",y ##z"))
     return table(spark, sf, "documents").select("doc_id", F.array_join(text.hashtags(t), "|").alias("tags"))
@@ -107,11 +110,11 @@ def map_last_wins(spark: SparkSession, sf: str) -> DataFrame:
     return collect.last_by(table(spark, sf, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id")
 
 
-@query("SELECT c.c_custkey, COALESCE(NULLIF(n.n_name, ''), 'unknown') AS author FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 3 <> 0) n ON n.n_nationkey = c.c_nationkey")
+@query("SELECT c.c_custkey, COALESCE(NULLIF(n.n_name, ''), 'unknown') AS author FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey + 9 * (c.c_custkey % 3)")
 def lookup_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    n = table(spark, sf, "nation").where("n_nationkey % 3 <> 0")  # read as it is: the optimiser broadcasts it by its size
-    c = table(spark, sf, "customer")
-    return c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select("c_custkey", text.either(F.col("n_name"), F.lit("unknown")).alias("author"))
+    n = table(spark, sf, "nation")  # read as it is: the optimiser broadcasts it by its size
+    c = table(spark, sf, "customer").withColumn("key", F.col("c_nationkey") + 9 * (F.col("c_custkey") % 3))  # keys beyond the table have no match
+    return c.join(n, c["key"] == n["n_nationkey"], "left").select("c_custkey", text.either(F.col("n_name"), F.lit("unknown")).alias("author"))
 
 
 @query("""WITH k AS (SELECT o_orderkey, unnest([o_custkey * 7, o_custkey, o_custkey % 13 + 1]) AS ck, unnest([0, 1, 2]) AS pos FROM orders)
@@ -143,18 +146,18 @@ def union_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fallback(spark: SparkSession, sf: str, minutes: float, later: str) -> DataFrame:
-    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    e = table(spark, sf, "events").select(F.concat(F.lit("event:"), "event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
     now = latest(spark, sf) + F.expr(later)
-    live = e.where(times.in_window(F.col("ts"), now, minutes))
-    return collect.with_fallback(live, e.where("event_id < 20"), True).select("event_id", "demo")
+    live = e.where(times.in_window(F.col("ts"), now, minutes)).select("id")
+    return collect.with_fallback(live, sample_posts(spark, now).select("id"), True).select("id", "demo")
 
 
-@query("SELECT event_id, true AS demo FROM events WHERE event_id < 20")
+@query("SELECT 'sample:' || i AS id, true AS demo FROM range(20) t(i)")
 def fallback_when_empty(spark: SparkSession, sf: str) -> DataFrame:
     return _fallback(spark, sf, 60, "interval 2 days")
 
 
-@query("SELECT event_id, false AS demo FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
+@query("SELECT 'event:' || event_id AS id, false AS demo FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
 def fallback_not_taken(spark: SparkSession, sf: str) -> DataFrame:
     return _fallback(spark, sf, 60, "interval 0 days")
 
@@ -163,12 +166,13 @@ def fallback_not_taken(spark: SparkSession, sf: str) -> DataFrame:
 def gazetteer_match(spark: SparkSession, sf: str) -> DataFrame:
     p = posts(spark, sf).where("geo is null")
     b = locate.best_place(text.haystack(F.col("text"), F.col("tags"), F.col("authorLocation")))
-    return p.select("ord", b.alias("b")).where("b is not null").select("ord", (-F.col("b.back")).alias("gord"), F.col("b.score").alias("score"))
+    # a generator's result is computed once, whatever reads it
+    return p.select("ord", F.explode(F.array(b)).alias("b")).where("b is not null").select("ord", (-F.col("b.back")).alias("gord"), F.col("b.score").alias("score"))
 
 
 @query(WITH + "SELECT ord, gord FROM near")
 def nearest_place(spark: SparkSession, sf: str) -> DataFrame:
-    p = posts(spark, sf).where("geo is not null").select("ord", locate.nearest_place(F.col("geo.lat"), F.col("geo.lon")).alias("n"))
+    p = posts(spark, sf).where("geo is not null").select("ord", F.explode(F.array(locate.nearest_place(F.col("geo.lat"), F.col("geo.lon")))).alias("n"))
     return p.where("n is not null").select("ord", (-F.col("n.back")).alias("gord"))
 
 
@@ -206,10 +210,27 @@ def api_envelope(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("generatedAt", "windowMinutes", "demo", "counts.*", F.array_join("posts.id", ",").alias("ids"), F.array_join("posts.locationLabel", ",").alias("labels"))
 
 
-@query(None)
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_samples = ", ".join(f"({i}, {_text(t)}, {_text(place)}, {g[0] if g else 'NULL'}::DOUBLE, {g[1] if g else 'NULL'}::DOUBLE)" for i, (t, place, _, g, _) in enumerate(SAMPLES))
+_SAMPLE = f"""smp(ord, text, place, tlat, tlon) AS (VALUES {_samples}),
+posts AS (SELECT ord, 'sample:' || ord AS id, text, regexp_extract_all(text, '#([^{_WHITE}#]+)', 1) AS tags, place AS "authorLocation", date_trunc('milliseconds', (SELECT max(ts) FROM events)) - to_minutes((ord * 7 + 3) % 56) AS ts, tlat, tlon FROM smp),
+"""
+
+
+@query(PLACES_SQL + _SAMPLE + ESTIMATES + """SELECT true AS demo, count(*) AS collected, count(method) AS located, count(*) - count(method) AS unlocated,
+string_agg(id, ',' ORDER BY ts DESC, ord) FILTER (method IS NOT NULL) AS ids, string_agg("locationLabel" || '/' || coalesce(pref, '') || '/' || confidence || '/' || method, ',' ORDER BY ts DESC, ord) FILTER (method IS NOT NULL) AS places,
+round(sum(lat), 6) AS lats, round(sum(lon), 6) AS lons FROM est""")
 def sample_envelope(spark: SparkSession, sf: str) -> DataFrame:
     now = latest(spark, sf)
-    return collect.envelope(collect.collect_posts(None, sample_posts(spark, now), now, force_sample=True), now, 60).select("demo", "counts.*", "json")
+    e = collect.envelope(collect.collect_posts(None, sample_posts(spark, now), now, force_sample=True), now, 60)
+    # read back from the JSON text that a client gets
+    e = e.select("demo", "counts.*", F.from_json("json", "posts array<struct<id:string,locationLabel:string,pref:string,confidence:string,method:string,lat:double,lon:double>>")["posts"].alias("p"))
+    total = {f"{c}s": F.round(F.aggregate(F.col("p")[c], F.lit(0.0), lambda a, x: a + x), 6) for c in ("lat", "lon")}
+    place = F.transform("p", lambda x: F.concat_ws("/", x["locationLabel"], F.coalesce(x["pref"], F.lit("")), x["confidence"], x["method"]))
+    return e.select("demo", "collected", "located", "unlocated", F.array_join("p.id", ",").alias("ids"), F.array_join(place, ",").alias("places"), *(x.alias(c) for c, x in total.items()))
 
 
 _PIN = """SELECT id, CAST(CAST(regexp_extract(image, 'ramen-([0-9]+)', 1) AS INT) AS VARCHAR) AS img, CAST(floor(epoch_ms((SELECT date_trunc('milliseconds', now) FROM tnow)::TIMESTAMP - ts::TIMESTAMP) / 60000.0 + 0.5) AS INT) AS "minutesAgo", CAST(format('{:.4f}', lat) AS DOUBLE) AS lat, CAST(format('{:.4f}', lon) AS DOUBLE) AS lon, "locationLabel", confidence, method FROM loc"""
@@ -312,10 +333,10 @@ def config_lists(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "region").select("r_regionkey", F.array_join(text.config_list(s), "|").alias("items"))
 
 
-@query("SELECT r.r_name AS instance, n.n_name AS tag, r.r_regionkey::BIGINT * 1000 + n.n_nationkey AS job FROM region r, nation n WHERE n.n_nationkey < 5")
+@query("SELECT r.r_name AS instance, n.n_name AS tag, r.r_regionkey::BIGINT * 1000 + n.n_nationkey AS job FROM region r, nation n")
 def source_fanout(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "region").select(F.col("r_name").alias("instance"), F.col("r_regionkey").cast("long").alias("i"))
-    b = table(spark, sf, "nation").where("n_nationkey < 5").select(F.col("n_name").alias("tag"), F.col("n_nationkey").cast("long").alias("j"))
+    b = table(spark, sf, "nation").select(F.col("n_name").alias("tag"), F.col("n_nationkey").cast("long").alias("j"))
     return fan_out(a, b)
 
 
@@ -336,13 +357,11 @@ def uri_encode(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", text.encode_uri(F.concat(F.replace("source", F.lit("src"), F.lit("a b")), F.lit("家/"), "doc_id")).alias("u"))
 
 
-@query(None)
+@query("SELECT DISTINCT user_id FROM events")
 def stream_window_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """Events through the stream once, first of each user within the watermark, then the look-back window."""
-    import uuid
-
-    base = f"{spark.sparkContext.getCheckpointDir() or spark.conf.get('spark.checkpoint.dir', '/tmp/postatlas-stream')}/stream-{uuid.uuid4()}"
+    """Events through the stream once, one of each user within the watermark, then the look-back window (which holds all events)."""
+    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4()}"
     events = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     q = poll.append_to(poll.deduplicated(events, "user_id", "ts"), f"{base}/out", f"{base}/state", refresh_seconds=None)
     q.awaitTermination()
-    return poll.recent(spark, f"{base}/out", "ts", latest(spark, sf), 60 * _DAY).select("event_id", "user_id")
+    return poll.recent(spark, f"{base}/out", "ts", latest(spark, sf), 60 * _DAY).select("user_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
@@ -28,6 +29,7 @@ def _get(url: str, headers: dict[str, str], timeout: float) -> str | None:
 
 
 def tag_url(instance: str, tag: str) -> str:
+    # The path, the limit and the filter of a tag's timeline.
     return f"https://{instance}/api/v1/timelines/tag/{urllib.parse.quote(tag, safe="!'()*~")}?limit=40&only_media=true"
 
 
@@ -42,8 +44,10 @@ class _Job(InputPartition):
 
 
 class _Reader(DataSourceReader):
+    """One deadline holds for all calls of a collection: what has ended by then is kept."""
+
     def __init__(self, jobs: list[_Job], headers: dict[str, str], timeout: float):
-        self.jobs, self.headers, self.timeout = jobs, headers, timeout
+        self.jobs, self.headers, self.deadline = jobs, headers, time.time() + timeout
 
     def partitions(self) -> list[InputPartition]:
         return self.jobs
@@ -51,7 +55,8 @@ class _Reader(DataSourceReader):
     def read(self, job: _Job | None) -> Iterator[tuple]:
         if job is None:  # no partitions: the engine makes one without a job
             return
-        body = _get(job.url, self.headers, self.timeout)
+        left = self.deadline - time.time()
+        body = _get(job.url, self.headers, left) if left > 0 else None
         if body is not None:
             yield job.ord, job.instance, body
 
@@ -96,6 +101,18 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(RecentSearch)
 
 
+def live_posts(spark: SparkSession, config: Config) -> DataFrame:
+    """RawPost rows of all sources that the settings name, in source order; nothing is fetched before the plan runs."""
+    from ..operators.collect import union_sources
+    from ..operators.normalize import normalize_mastodon, normalize_x
+
+    register(spark)
+    tags = spark.read.format("tag_timelines").option("instances", ",".join(config.instances)).option("tags", ",".join(config.tags)).option("timeout", str(config.timeout_seconds)).load()
+    search = spark.read.format("recent_search").option("query", config.x_query).option("timeout", str(config.timeout_seconds))
+    search = search.option("token", config.x_token) if config.x_token else search
+    return union_sources(normalize_mastodon(parse_timelines(tags)), normalize_x(parse_search(search.load())))
+
+
 def parse_timelines(bodies: DataFrame) -> DataFrame:
     """(job, instance, body) to statuses with instance and ``ord`` in job order; a body that is no array gives none."""
     rows = bodies.where(F.col("body").rlike(r"^\s*\[")).select("job", "instance", F.posexplode(F.from_json("body", f"array<{MASTODON_STATUS}>")).alias("_i", "s"))

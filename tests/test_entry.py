@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from postatlas.plans import catalog
+from postatlas.plans import captured, catalog  # noqa: F401  (captured registers its queries in catalog)
 from tests.conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
