@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import checkpoint_dir
+
 #: Input bytes (as stored, compressed) that one group of documents should hold.
 GROUP_BYTES = 4 << 20
 _UNKNOWN = 1 << 60
@@ -32,16 +34,4 @@ def groups(df: DataFrame, each: int = GROUP_BYTES) -> int:
     return max(parts, -(-plan_bytes(df) // each)) | 1
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only on a local master where none is set (tests)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-            import tempfile
-
-            shared = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(shared)
-    return context.getCheckpointDir()
+__all__ = ["GROUP_BYTES", "checkpoint_dir", "groups", "plan_bytes"]
