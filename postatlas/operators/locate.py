@@ -12,19 +12,27 @@ from pyspark.sql import functions as F
 from ..functions.geo import finite, jitter, squared_distance
 from ..functions.text import haystack
 from ..shared import let
-from ..sources.gazetteer import literal
+from ..sources.gazetteer import literal, narrow_names
 
 RADIUS = 0.5  # squared degrees, strict
 BAND = 0.0004  # squared degrees within which a narrower kind wins
 
 
 def best_place(text: Column) -> Column:
-    """The place with the highest score: kind first, then the length of its first listed name that occurs; ties go to the first place."""
+    """The place with the highest score: kind first, then the length of its first listed name that occurs; ties go to the first place.
+
+    Names without ASCII characters are looked for in what is left of the text
+    when its ASCII runs are spaces, the others in the whole text, and only where
+    one scan has found that any of them occurs.
+    """
     def search(t: Column) -> Column:
-        scored = F.transform(literal(), lambda p: F.struct((p["prio"] * 100 + F.length(F.get(F.filter(p["names"], lambda n: F.contains(t, n)), F.lit(0)))).alias("score"), (-p["ord"]).alias("back"), p["lat"].alias("lat"), p["lon"].alias("lon"), p["label"].alias("label"), p["pref"].alias("pref"), p["kind"].alias("kind")))
+        scored = F.transform(literal(), lambda p: F.struct((p["prio"] * 100 + F.length(F.get(F.filter(p["names"], lambda n: F.contains(F.when(n["wide"], t["wide"]).otherwise(t["narrow"]), n["name"])), F.lit(0))["name"])).alias("score"), (-p["ord"]).alias("back"), p["lat"].alias("lat"), p["lon"].alias("lon"), p["label"].alias("label"), p["pref"].alias("pref"), p["kind"].alias("kind")))
         return F.array_max(F.filter(scored, lambda s: s["score"].isNotNull()))
 
-    return let(text, search)
+    def parts(t: Column) -> Column:
+        return F.struct(F.regexp_replace(t, r"[\x00-\x7F]+", " ").alias("wide"), F.when(t.rlike(narrow_names()), t).otherwise("").alias("narrow"))
+
+    return let(let(text, parts), search)
 
 
 def nearest_place(lat: Column, lon: Column) -> Column:

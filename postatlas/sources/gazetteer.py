@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,5 +100,16 @@ def places(spark: SparkSession) -> DataFrame:
 
 def literal() -> Column:
     """The gazetteer as one constant array of structs: a small foldable expression, which the optimiser turns into a literal."""
-    data = [dict(zip(("ord", "names", "lat", "lon", "label", "pref", "kind", "prio"), row, strict=True)) for row in rows()]
-    return F.from_json(F.lit(json.dumps(data, ensure_ascii=False)), "array<struct<ord:int,names:array<string>,lat:double,lon:double,label:string,pref:string,kind:string,prio:int>>")
+    data = [dict(zip(("ord", "names", "lat", "lon", "label", "pref", "kind", "prio"), (o, [{"name": n, "wide": is_wide(n)} for n in names], *rest), strict=True)) for o, names, *rest in rows()]
+    return F.from_json(F.lit(json.dumps(data, ensure_ascii=False)), "array<struct<ord:int,names:array<struct<name:string,wide:boolean>>,lat:double,lon:double,label:string,pref:string,kind:string,prio:int>>")
+
+
+def is_wide(name: str) -> bool:
+    """Whether a name has no ASCII character."""
+    return not any(c < "\x80" for c in name)
+
+
+def narrow_names() -> str:
+    """A regular expression that finds whether any name with an ASCII character occurs; the look-ahead turns most places down at once."""
+    names = sorted({n for _, names, *_ in rows() for n in names if not is_wide(n)})
+    return f"(?=[{''.join(sorted({n[0] for n in names}))}])(?:{'|'.join(map(re.escape, names))})"
