@@ -127,7 +127,7 @@ class Codec:
                     for part in (a, b):
                         if len(part) > 1 and dense[normal[part][1]] >= r:
                             careful[dense[normal[part][1]]] = True
-        self.table = PairTable(*np.array(rows, np.int64).T, careful)
+        self.table = PairTable(*np.array(rows, np.int64).T, careful, [self.of_char[np.frombuffer(p.encode("utf-32-le"), np.uint32)] for p in normal])
         surface = [p.replace(SPACE, " ").encode() if t == 1 else bytes([int(p[3:5], 16)]) if t == 6 else " ⁇ ".encode() if t == 2 else b"" for p, _, t in pieces]
         self.surface, self.surface_at = _joined(surface)
         self.digits = _joined([b"%d," % i for i in range(len(pieces))])

@@ -56,8 +56,9 @@ class Counter:
         careful = np.zeros(len(merges), bool)
         early = np.maximum(born[left], born[right]) >= np.arange(len(merges))
         careful[np.concatenate((born[left][early], born[right][early]))] = True
-        self.table = PairTable(left, right, np.arange(len(merges)), product, careful)
         self.of_byte = np.array([vocab[c] for c, _ in sorted(alphabet.items(), key=lambda x: x[1])])
+        pieces = [self.of_byte[[alphabet[c] for c in s]] for s in vocab if s not in self.special]
+        self.table = PairTable(left, right, np.arange(len(merges)), product, careful, pieces)
         strings = []
         for s in vocab:
             if s not in self.special:
