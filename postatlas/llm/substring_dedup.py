@@ -8,9 +8,15 @@ The corpus reaches the trees as distinct anchored stretches (see
 ``stretches``): suffixes are dealt by the anchor gram of their window.  Within
 a bucket, variable-length prefixes split the suffixes into groups of at most
 ``group`` suffixes: a group that is too large is split by a prefix twice as
-long.  Each group becomes one subtree: its leaves are sorted by their prefix
-ladder, its internal nodes of a depth of ``length`` words or more are the deep
-ones, and the leaves below a deep node are the places of one repeat.
+long.  Each group becomes one subtree: its leaves in lexicographic order, the
+longest common prefixes of neighbours, and the internal nodes of a depth of
+``length`` words or more that have no such node above (an interval of leaves
+whose neighbours share ``length`` words; its depth is the least of them).  The
+string of a deep node is a repeat that no word prolongs at all of its places:
+where it also starts in a smaller document, the whole of it goes.
+
+Ranks of prefixes are made once for a bucket, by doubling; subtrees are built
+one after another.
 
 Edge cases: a null text has no words; documents of fewer words than a window
 lose nothing; repeated rows of one document do not remove each other; rows
@@ -32,7 +38,7 @@ from .textcore import Chunk, per_document
 LENGTH = 50
 GRAM = 8
 #: Suffixes in one subtree.
-GROUP = 1 << 20
+GROUP = 1 << 14
 
 
 def _dense(key: np.ndarray) -> np.ndarray:
@@ -45,34 +51,30 @@ def _dense(key: np.ndarray) -> np.ndarray:
 
 
 class PrefixLadder:
-    """Numbers of all prefixes of 1, 2, 4 ... words of each suffix; suffixes too short have none (-1)."""
+    """Lexicographic ranks of the prefixes of 1, 2, 4 ... words of all suffixes; what has ended comes first."""
 
-    def __init__(self, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, depth: int):
+    def __init__(self, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
         n = len(words)
         self.room = np.repeat(starts + sizes, sizes) - np.arange(n)
-        self.steps = {1: _dense(words)}
-        width = 1
-        while width * 2 <= depth:
-            self.steps[2 * width] = self._joined(width, 2 * width)
+        self.steps = [_dense(words)]
+        width, longest = 1, int(sizes.max(initial=1))
+        while width < longest:
+            s = self.steps[-1]
+            after = np.zeros(n, np.int64)
+            more = np.flatnonzero(self.room > width)
+            after[more] = s[more + width] + 1
+            self.steps.append(_dense(s * (n + 1) + after))
             width *= 2
-        self.steps[depth] = self._joined(width, depth) if width < depth else self.steps[width]
-
-    def _joined(self, half: int, whole: int) -> np.ndarray:
-        at = np.flatnonzero(self.room >= whole)
-        s = self.steps[half]
-        out = np.full(len(s), -1, np.int64)
-        out[at] = _dense(s[at] * (len(s) + 1) + s[at + whole - half])
-        return out
 
-    def partition(self, suffixes: np.ndarray, group: int) -> Iterator[np.ndarray]:
-        """Groups of suffixes by variable-length prefixes, small neighbours packed together."""
-        levels = sorted(self.steps)
+    def partition(self, suffixes: np.ndarray, group: int, length: int) -> Iterator[np.ndarray]:
+        """Groups of suffixes by variable-length prefixes of ``length`` words at most, small neighbours packed together."""
+        levels = min(len(self.steps), length.bit_length())
 
         def split(part: np.ndarray, level: int) -> Iterator[np.ndarray]:
-            if len(part) <= group or level == len(levels):
+            if len(part) <= group or level == levels:
                 yield part
                 return
-            key = self.steps[levels[level]][part]
+            key = self.steps[level][part]
             order = np.argsort(key, kind="stable")
             for sub in np.split(part[order], np.flatnonzero(np.diff(key[order])) + 1):
                 yield from split(sub, level + 1)
@@ -88,25 +90,55 @@ class PrefixLadder:
         if held:
             yield np.concatenate(held)
 
-
-def deep_nodes(ladder: PrefixLadder, leaves: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The subtree's leaves in order, and the number of the node of depth ``length`` above each."""
-    key = ladder.steps[length][leaves]
-    order = np.argsort(key, kind="stable")
-    new = np.zeros(len(order), bool)
-    new[1:] = key[order][1:] != key[order][:-1]
-    return leaves[order], np.cumsum(new)
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The words that two suffixes have in common at their start."""
+        most = np.minimum(self.room[a], self.room[b])
+        done = np.zeros(len(a), np.int64)
+        for level in range(len(self.steps) - 1, -1, -1):
+            go = done < most
+            at = np.where(go, done, 0)
+            equal = go & (self.steps[level][a + at] == self.steps[level][b + at])
+            done = np.where(equal, done + (1 << level), done)
+        return np.minimum(done, most)
+
+
+def subtree(ladder: PrefixLadder, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The leaves in lexicographic order, and for each the words that it shares with the one before (0 for the first)."""
+    leaves = suffixes[np.argsort(ladder.steps[-1][suffixes], kind="stable")]
+    shared = np.zeros(len(leaves), np.int64)
+    shared[1:] = ladder.common(leaves[:-1], leaves[1:])
+    return leaves, shared
+
+
+def deep_nodes(shared: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The highest internal nodes of a depth of ``length`` or more: first leaf, end of the leaves, and depth of each."""
+    deep = shared >= length
+    first = np.flatnonzero(deep & ~np.append(False, deep[:-1])) - 1
+    end = np.flatnonzero(deep & ~np.append(deep[1:], False)) + 1
+    # the depth is the least value between neighbours, the first leaf's own value left out
+    bounds = np.stack((first + 1, end), axis=1).ravel()
+    depth = np.minimum.reduceat(np.append(shared, 0), bounds)[::2] if len(first) else np.empty(0, np.int64)
+    return first, end, depth
 
 
 def _index(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, doc: np.ndarray, at: np.ndarray, length: int = LENGTH, group: int = GROUP) -> np.ndarray:
-    ladder = PrefixLadder(words, starts, sizes, length)
+    ladder = PrefixLadder(words, starts, sizes)
     docs = np.repeat(doc, sizes)
-    late = np.zeros(len(words), bool)
-    for part in ladder.partition(np.flatnonzero(ladder.room >= length), group):
-        leaves, node = deep_nodes(ladder, part, length)
-        first = np.minimum.reduceat(docs[leaves], np.flatnonzero(np.diff(node, prepend=-1)))
-        late[leaves] = docs[leaves] > first[node]
-    return late
+    edge = np.zeros(len(words) + 1, np.int64)
+    for part in ladder.partition(np.flatnonzero(ladder.room >= length), group, length):
+        leaves, shared = subtree(ladder, part)
+        first, end, depth = deep_nodes(shared, length)
+        if not len(first):
+            continue
+        n = end - first
+        node = np.repeat(np.arange(len(n)), n)
+        leaf = leaves[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        least = np.minimum.reduceat(docs[leaf], np.cumsum(n) - n)
+        late = docs[leaf] > least[node]
+        # every window inside the node's string starts in the smaller document too
+        np.add.at(edge, leaf[late], 1)
+        np.add.at(edge, leaf[late] + (depth[node][late] - length + 1), -1)
+    return np.cumsum(edge[:-1]) > 0
 
 
 def spec(length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> Spec:
