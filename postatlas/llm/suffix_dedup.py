@@ -5,13 +5,20 @@ document with a smaller id, or earlier in the same one) is removed; matches
 never cross documents and are judged on the input.
 
 The corpus reaches the index as distinct anchored stretches (see
-``stretches``).  Over those of a bucket the index sorts all suffixes, builds
-the run-compressed Burrows-Wheeler transform and samples it at run heads: only
-there the longest match with the preceding suffix is compared symbol by symbol.
-Streaming the text then gives all matching statistics, since inside a run a
-position's statistic is one less than the one before it.  Windows whose
-statistics reach ``length`` form intervals; all but the earliest of an interval
-are marked.
+``stretches``).  Over those of a bucket the index is the run-compressed
+Burrows-Wheeler transform: the symbol and the first row of each run, the text
+positions at each run's ends, and the row of every ``STEP``-th text position.
+The suffix array that it is built from is dropped.
+
+* At a run's head the longest match with the preceding suffix (the end of the
+  run before) is compared on the symbols; inside a run a position's statistic is
+  one less than that of the position before it, so streaming the text gives all
+  matching statistics.
+* Stepping backward through the text from its samples, one run lookup a symbol,
+  gives each position's row.
+
+Rows whose statistics reach ``length`` form intervals of equal windows; all but
+the earliest of an interval are marked.
 
 Edge cases: a null or empty text has nothing to remove; repeated rows of one
 document have one place each, so neither removes the other; rows without an id
@@ -32,6 +39,8 @@ from .textcore import Chunk, Spans, per_document
 
 LENGTH = 100
 GRAM = 24
+#: Text positions from one sampled row to the next.
+STEP = 128
 
 
 def suffix_ranks(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -75,15 +84,22 @@ def suffix_ranks(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) ->
 
 @dataclass
 class RunLengthIndex:
-    """Run-compressed transform of several texts, with a sample at each run's head."""
-
-    heads: np.ndarray  # symbol of each run, -1 at a text's start
-    run_start: np.ndarray  # in suffix order
-    sample: np.ndarray  # text position at each run head
-    sample_end: np.ndarray  # and at each run end
-    order: np.ndarray
-    symbols: np.ndarray
-    end: np.ndarray
+    """Run-compressed transform of several texts with samples; all arrays but ``sampled`` have an entry for each run."""
+
+    run_start: np.ndarray  # first row
+    head: np.ndarray  # symbol, -1 before a text's start
+    sample: np.ndarray  # text position at the first row
+    sample_end: np.ndarray  # and at the last
+    shift: np.ndarray  # from a row to that of the position before
+    sampled: np.ndarray  # rows of the last position of each text's pieces of ``STEP`` positions
+
+    @staticmethod
+    def pieces(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last position of each text's pieces."""
+        n = -(-sizes // STEP)
+        of = np.repeat(np.arange(len(sizes)), n)
+        first = starts[of] + STEP * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        return first, np.minimum(first + STEP, starts[of] + sizes[of]) - 1
 
     @classmethod
     def build(cls, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> RunLengthIndex:
@@ -95,39 +111,66 @@ class RunLengthIndex:
         new = np.ones(len(bwt), bool)
         new[1:] = (bwt[1:] != bwt[:-1]) | (bwt[1:] < 0)
         run_start = np.flatnonzero(new)
-        run_end = np.append(run_start[1:], len(bwt)) - 1
-        return cls(bwt[run_start], run_start, order[run_start], order[run_end], order, symbols, np.repeat(starts + sizes, sizes))
-
-    def matching_statistics(self, limit: int) -> np.ndarray:
-        """For each text position the length (up to ``limit`` at run heads) of its match with the preceding suffix."""
-        n = len(self.symbols)
-        here, prior = self.sample[1:], self.order[self.run_start[1:] - 1]
-        spans = Spans(self.symbols)
+        size = np.diff(np.append(run_start, len(bwt)))
+        head = bwt[run_start]
+        # a row moves to its symbol's rows: after those of smaller symbols, of texts that end with it, and of earlier runs
+        count = np.bincount(symbols, minlength=256)
+        least = np.cumsum(count) - count + np.bincount(symbols[starts + sizes - 1], minlength=256)
+        by_head = np.argsort(head, kind="stable")
+        total = np.cumsum(size[by_head]) - size[by_head]
+        group = np.ones(len(head), bool)
+        group[1:] = head[by_head][1:] != head[by_head][:-1]
+        earlier = np.empty(len(head), np.int64)
+        earlier[by_head] = total - total[np.flatnonzero(group)][np.cumsum(group) - 1]
+        shift = least[np.maximum(head, 0)] + earlier - run_start
+        row = np.empty(len(order), np.int64)
+        row[order] = np.arange(len(order))
+        return cls(run_start, head, order[run_start], order[run_start + size - 1], shift, row[cls.pieces(starts, sizes)[1]])
+
+    def rows(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The row of every text position, by stepping backward from the samples."""
+        out = np.empty(int(sizes.sum()), np.int64)
+        first, at = self.pieces(starts, sizes)
+        row = self.sampled
+        while len(at):
+            out[at] = row
+            go = at > first
+            first, at, row = first[go], at[go], row[go]
+            row = row + self.shift[np.searchsorted(self.run_start, row, "right") - 1]
+            at = at - 1
+        return out
+
+    def matching_statistics(self, symbols: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """For each text position the length of its match with the preceding suffix; ``end`` is its text's end."""
+        here, prior = self.sample[1:], self.sample_end[:-1]
+        spans = Spans(symbols)
         lo = np.zeros(len(here), np.int64)
-        hi = np.minimum(self.end[here] - here, self.end[prior] - prior)
+        hi = np.minimum(end[here] - here, end[prior] - prior)
         while (open_ := lo < hi).any():
             m = (lo + hi + 1) >> 1
             m = np.where(open_, m, lo)
             equal = spans.hash(here, here + m) == spans.hash(prior, prior + m)
             lo, hi = np.where(open_ & equal, m, lo), np.where(open_ & ~equal, m - 1, hi)
-        head = np.zeros(n, bool)
+        head = np.zeros(len(symbols), bool)
         head[self.sample] = True
-        value = np.zeros(n, np.int64)
+        value = np.zeros(len(symbols), np.int64)
         value[here] = lo
         at = np.flatnonzero(head)
         last = at[np.cumsum(head) - 1]
-        return np.maximum(value[last] - (np.arange(n) - last), 0)
+        return np.maximum(value[last] - (np.arange(len(symbols)) - last), 0)
+
 
-    def later_windows(self, length: int, key: np.ndarray) -> np.ndarray:
-        """Which positions start a window that also starts at a smaller key."""
-        statistic = self.matching_statistics(length)[self.order]
-        new = statistic < length
-        new[:1] = True
-        head = np.flatnonzero(new)
-        first = np.minimum.reduceat(key[self.order], head)
-        late = np.empty(len(key), bool)
-        late[self.order] = key[self.order] > first[np.cumsum(new) - 1]
-        return late
+def later_windows(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, key: np.ndarray) -> np.ndarray:
+    """Which positions start a window that also starts at a smaller key."""
+    index = RunLengthIndex.build(symbols, starts, sizes)
+    statistic = index.matching_statistics(symbols, np.repeat(starts + sizes, sizes))
+    row = index.rows(starts, sizes)
+    new, ordered = np.empty(len(row), bool), np.empty(len(row), np.int64)
+    new[row] = statistic < length
+    ordered[row] = key
+    new[:1] = True
+    first = np.minimum.reduceat(ordered, np.flatnonzero(new))
+    return key > first[np.cumsum(new)[row] - 1]
 
 
 def places(doc: np.ndarray, at: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -137,7 +180,7 @@ def places(doc: np.ndarray, at: np.ndarray, starts: np.ndarray, sizes: np.ndarra
 
 
 def _index(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, doc: np.ndarray, at: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    return RunLengthIndex.build(symbols, starts, sizes).later_windows(length, places(doc, at, starts, sizes))
+    return later_windows(symbols, starts, sizes, length, places(doc, at, starts, sizes))
 
 
 def spec(length: int = LENGTH, gram: int = GRAM) -> Spec:
@@ -171,4 +214,4 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return apply_removals(docs, spec(length), finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-__all__ = ["RunLengthIndex", "digests", "places", "remove_repeats", "spec", "suffix_ranks"]
+__all__ = ["RunLengthIndex", "digests", "later_windows", "places", "remove_repeats", "spec", "suffix_ranks"]
