@@ -1,24 +1,33 @@
 """Masked pseudo-likelihood scores from a bidirectional window network and counts of word pairs.
 
-Every token is predicted from both sides.  A network with one hidden layer reads
-the classes of the left and of the right neighbour and gives the distribution of
-the masked token's class; times the token's share of its class this is a first
-distribution of the token itself.  Counts of the pairs that the token makes with
-its two neighbours then condition it on the neighbours' words:
+Every token is predicted from both sides, from a window of two words each way.
+A network with one hidden layer reads the kinds of these four words and gives the
+distribution of the masked token's class; times the token's share of its class
+this is a first distribution of the token itself.  Counts of the pairs that the
+token makes with its two neighbours then condition it on the neighbours' words:
 
-    (pairs with the left word + pairs with the right word + PRIOR * first)
-    / (places of the left word + places of the right word + PRIOR)
+    (pairs with the left word + pairs with the right word + weight * first)
+    / (places + weight),    weight = PRIOR + SPREAD * places ** GROWTH
+
+with the places of the left and the right word: frequent words have many different
+neighbours, so what they have not met yet counts for more.
 
 A document's score is the sum of the logarithms over all its tokens.  Where the
 documents scored are those counted, a token's own place is taken out of each
 count, so a rare pair says nothing for itself but only for its repeats.
 
-The network learns from class triples, in tables of a fixed size.  Words and
-pairs have one count each, however many there are: documents are dealt to groups,
-a group sends its distinct keys with their counts to buckets of the key space, a
-bucket adds them up and answers in the order of the keys, and each group scores
-its documents with the answers.  What is gathered grows with the corpus, and none
-of it passes the driver.  Keys are hashes of 56 bits with the class in 8 more.
+The most frequent words have a class of their own; others belong to the class of
+their shape (first and last letters and length).  Shapes with like neighbours
+among the frequent words form a class, so classes tell languages and registers
+apart, and a word never seen has one too.  Kinds are unions of like classes.
+
+Shapes' neighbours and classes in their windows are counted over all tokens, in
+tables of a fixed size that are added up in a tree; the network learns from these.  Words and pairs have one count each, however many there are:
+documents are dealt to groups, a group sends its distinct keys with their counts
+to those buckets of the key space that it has keys of, a bucket adds them up and
+answers in the order of the keys, and each group scores its documents with the
+answers.  What is gathered grows with the corpus, and none of it passes the
+driver.  Keys are hashes of 56 bits with the class in 8 more.
 
 Edge cases: a text without words has no tokens, a score of 0 and a null mean;
 repeated rows count each and are scored each; an empty table gives an empty
@@ -42,31 +51,44 @@ from .textcore import LOWER, SPACE_WORDS, U64, Chunk, chunks, mix, owner, split_
 BUCKET_BITS = 17
 CLASSES = 96  # class 0 is the text's edge
 _SINGLE = 64  # frequent buckets with a class of their own
-PRIOR = 4.0  # weight of the network's distribution, in places
-_MESSAGE = "g int, p int, keys binary, counts binary"
-
-
-def _hashes(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+SHAPE_BITS = 13
+# weight of the network's distribution, in places
+PRIOR = 4.0
+SPREAD = 3.0
+GROWTH = 0.9
+KINDS = 12  # kind 0 is beyond the text's edge
+REACH = (1, 2)  # distances of the words that the network reads, to both sides
+_MESSAGE = "g long, p long, keys binary, counts binary"
+#: Text bytes whose distinct words are sent at once.
+FLUSH_BYTES = 16 << 20
+#: Tables that one task adds up.
+_TREE = 32
+
+
+def _tokens(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and shape of each word, and each document's first word."""
     buf = LOWER[c.buf]
     starts, ends, first = split_words(buf, c.offs, SPACE_WORDS)
-    return word_hashes(buf, starts, ends), first
+    if not len(starts):
+        return np.empty(0, U64), np.empty(0, np.int64), first
+    size = ends - starts
+    parts = (buf[starts], np.where(size > 1, buf[np.minimum(starts + 1, len(buf) - 1)], 0), np.where(size > 2, buf[ends - 2], 0), buf[ends - 1], np.minimum(size, 12))
+    shape = np.zeros(len(starts), U64)
+    for x in parts:
+        shape = shape * U64(256) + x.astype(U64)
+    return word_hashes(buf, starts, ends), (mix(shape) >> U64(64 - SHAPE_BITS)).astype(np.int64), first
 
 
 def _bucket(words: np.ndarray) -> np.ndarray:
     return (words >> U64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def _buckets(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
-    words, first = _hashes(c)
-    return _bucket(words), first
-
-
-def _sides(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sides(classes: np.ndarray, first: np.ndarray, distance: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The classes (or kinds) of the words so far to the left and to the right; 0 beyond the text's edges."""
     left, right = np.zeros_like(classes), np.zeros_like(classes)
-    left[1:], right[:-1] = classes[:-1], classes[1:]
-    some = first[:-1] < first[1:]
-    left[first[:-1][some]] = 0
-    right[first[1:][some] - 1] = 0
+    of = owner(first)
+    same = of[distance:] == of[:-distance]
+    left[distance:], right[:-distance] = np.where(same, classes[:-distance], 0), np.where(same, classes[distance:], 0)
     return left, right
 
 
@@ -87,61 +109,121 @@ def summed(docs: DataFrame, size: int, count: Callable[[Chunk], np.ndarray]) ->
         yield pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "table": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     schema = "part int, table binary"
-    tables = docs.select("doc_id", "text").mapInArrow(run, schema)
-    united = tables.repartition(16).mapInArrow(add, schema)
+    united = docs.select("doc_id", "text").mapInArrow(run, schema)
+    parts = united._jdf.queryExecution().toRdd().getNumPartitions()
+    while parts > _TREE:
+        parts = -(-parts // _TREE)
+        united = united.repartition(parts).mapInArrow(add, schema)
     total = np.zeros(size, np.int64)
-    for row in united.toLocalIterator():  # at most 16 tables of a fixed size, one after another
+    for row in united.toLocalIterator():  # at most _TREE tables of a fixed size, one after another
         total += np.frombuffer(zlib.decompress(row["table"]), np.int64)
     return total
 
 
+@dataclass
+class Classes:
+    of_bucket: np.ndarray  # 0 where the shape decides
+    of_shape: np.ndarray
+    kind: np.ndarray  # by class
+
+    def of(self, words: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+        own = self.of_bucket[_bucket(words)]
+        return np.where(own > 0, own, self.of_shape[shapes]).astype(np.int64)
+
+    def windows(self, k: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The number of each token's window: the kinds of the words around it."""
+        kind, out = self.kind[k].astype(np.int64), np.zeros(len(k), np.int64)
+        for d in REACH:
+            for side in _sides(kind, first, d):
+                out = out * KINDS + side
+        return out
+
+
 @dataclass
 class Model:
-    class_of: np.ndarray  # by bucket
+    classes: Classes
     mass: np.ndarray  # by class: tokens
-    log_table: np.ndarray  # by (left * CLASSES + right) * CLASSES + class
+    kinds: np.ndarray  # by class: distinct words
+    log_table: np.ndarray  # by window * CLASSES + class
     rows: DataFrame | None = None  # the documents counted; not sent to tasks
 
 
-def assign(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of buckets, and the tokens of each class: frequent ones have their own, the others are dealt by rank to classes of like size."""
-    order = np.argsort(-counts, kind="stable")
-    class_of = np.empty(len(counts), np.int64)
-    class_of[order[:_SINGLE]] = np.arange(1, _SINGLE + 1)
-    rest = order[_SINGLE:]
-    mass = np.cumsum(counts[rest] + 1.0)
-    bands = CLASSES - 1 - _SINGLE
-    class_of[rest] = _SINGLE + 1 + np.minimum(bands - 1, (mass / mass[-1] * bands).astype(np.int64))
-    return class_of, np.bincount(class_of, counts, CLASSES)
+def frequent(counts: np.ndarray) -> np.ndarray:
+    """Class by bucket: those of the largest counts have their own, the others none (0)."""
+    out = np.zeros(len(counts), np.int16)
+    top = np.argsort(-counts, kind="stable")[:_SINGLE]
+    out[top] = np.where(counts[top] > 0, np.arange(1, _SINGLE + 1), 0)
+    return out
 
 
-def train(triples: np.ndarray, *, hidden: int = 24, epochs: int = 60, rate: float = 0.05, seed: int = 11) -> np.ndarray:
-    """log P(class | left, right) for all pairs, by full-batch Adam on the triple counts."""
-    n = triples.reshape(CLASSES, CLASSES, CLASSES).astype(np.float64)
-    weight = n.sum(2)
-    total = max(weight.sum(), 1.0)
+def clusters(x: np.ndarray, n: np.ndarray, k: int, *, rounds: int = 20, seed: int = 5) -> np.ndarray:
+    """The number (below k) of each row's cluster, by k-means with weights."""
+    rng = np.random.default_rng(seed)
+    centre = [x[int(np.argmax(n))]]
+    gap = ((x - centre[0]) ** 2).sum(1)
+    for _ in range(k - 1):  # far points are likely centres
+        p = gap * n
+        centre.append(x[rng.choice(len(x), p=p / p.sum())] if p.sum() > 0 else x[rng.integers(len(x))])
+        gap = np.minimum(gap, ((x - centre[-1]) ** 2).sum(1))
+    centres = np.array(centre)
+    for _ in range(rounds):
+        best = np.argmin((centres**2).sum(1) - 2 * x @ centres.T, axis=1)
+        weight = np.bincount(best, n, k)
+        moved = np.stack([np.bincount(best, n * x[:, j], k) for j in range(x.shape[1])], axis=1)
+        centres = np.where(weight[:, None] > 0, moved / np.maximum(weight, 1e-9)[:, None], centres)
+    return np.argmin((centres**2).sum(1) - 2 * x @ centres.T, axis=1)
+
+
+def classify(own: np.ndarray, near: np.ndarray) -> Classes:
+    """Classes and kinds from the counts of frequent neighbours: a row for each shape, then one for each frequent class."""
+
+    def shares(table: np.ndarray) -> np.ndarray:
+        prior = near.sum(0) + 1.0
+        return np.sqrt((table + prior / prior.sum()) / (table.sum(1, keepdims=True) + 1))
+
+    shapes = near[: 1 << SHAPE_BITS]
+    of_shape = clusters(shares(shapes), shapes.sum(1).astype(float), CLASSES - 1 - _SINGLE)
+    table = np.zeros((CLASSES, near.shape[1]))
+    table[: _SINGLE + 1] = near[1 << SHAPE_BITS :]
+    np.add.at(table, _SINGLE + 1 + of_shape, shapes)
+    kind = 1 + clusters(shares(table), table.sum(1), KINDS - 1)
+    kind[0] = 0
+    return Classes(own, (_SINGLE + 1 + of_shape).astype(np.int16), kind.astype(np.int16))
+
+
+def train(counts: np.ndarray, *, hidden: int = 32, epochs: int = 120, rate: float = 0.05, seed: int = 11) -> np.ndarray:
+    """log P(class | window) for all windows, by full-batch Adam on the counts of classes in each window."""
+    places = 2 * len(REACH)
+    n = counts.reshape(-1, CLASSES).astype(np.float64)
+    total = max(n.sum(), 1.0)
+    seen = np.flatnonzero(n.sum(1))
+    flat = n[seen] / total
+    w = flat.sum(1, keepdims=True)
+    kinds = np.stack(np.unravel_index(np.arange(len(n)), (KINDS,) * places), axis=1)
     rng = np.random.default_rng(seed)
-    p = {"left": rng.normal(0, 0.3, (CLASSES, hidden)), "right": rng.normal(0, 0.3, (CLASSES, hidden)), "bias": np.zeros(hidden), "out": rng.normal(0, 0.1, (hidden, CLASSES)), "prior": np.log((n.sum((0, 1)) + 0.5) / (total + 0.5 * CLASSES))}
+    p = {"in": rng.normal(0, 0.3, (places, KINDS, hidden)), "bias": np.zeros(hidden), "out": rng.normal(0, 0.1, (hidden, CLASSES)), "prior": np.log((n.sum(0) + 0.5) / (total + 0.5 * CLASSES))}
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    flat, w = n.reshape(-1, CLASSES) / total, (weight / total).reshape(-1, 1)
 
-    def forward() -> tuple[np.ndarray, np.ndarray]:
-        h = np.tanh(p["left"][:, None] + p["right"][None] + p["bias"]).reshape(-1, hidden)
+    def forward(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h = np.tanh(sum(p["in"][j][x[:, j]] for j in range(places)) + p["bias"])
         z = h @ p["out"] + p["prior"]
         z -= z.max(1, keepdims=True)
         return h, z - np.log(np.exp(z).sum(1, keepdims=True))
 
+    x = kinds[seen]
     for step in range(1, epochs + 1):
-        h, logp = forward()
+        h, logp = forward(x)
         dz = w * np.exp(logp) - flat
         dh = (dz @ p["out"].T) * (1 - h * h)
-        cube = dh.reshape(CLASSES, CLASSES, hidden)
-        grad = {"left": cube.sum(1), "right": cube.sum(0), "bias": dh.sum(0), "out": h.T @ dz, "prior": dz.sum(0)}
+        into = np.zeros_like(p["in"])
+        for j in range(places):
+            np.add.at(into[j], x[:, j], dh)
+        grad = {"in": into, "bias": dh.sum(0), "out": h.T @ dz, "prior": dz.sum(0)}
         for k, g in grad.items():
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.99 * v[k] + 0.01 * g * g
             p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-9)
-    return forward()[1].astype(np.float32).ravel()
+    return np.concatenate([forward(part)[1].astype(np.float32).ravel() for part in np.array_split(kinds, 8)])
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -149,18 +231,65 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, **options: float) -> Model:
-    """Three jobs: token counts, class triples, training on the driver. Words and pairs are counted as documents are scored."""
+    """Four jobs: token counts, shapes' neighbours, classes by window, distinct words; training on the driver. Words and pairs are counted as documents are scored."""
     rows = _rows(docs, "doc_id", "text")
-    counts = summed(rows, 1 << BUCKET_BITS, lambda c: np.bincount(_buckets(c)[0], minlength=1 << BUCKET_BITS))
-    class_of, mass = assign(counts)
+    own = frequent(summed(rows, 1 << BUCKET_BITS, lambda c: np.bincount(_bucket(_tokens(c)[0]), minlength=1 << BUCKET_BITS)))
+    width = _SINGLE + 1
+    cells = 2 * width * ((1 << SHAPE_BITS) + width)
 
-    def triples(c: Chunk) -> np.ndarray:
-        b, first = _buckets(c)
-        k = class_of[b]
+    def neighbours(c: Chunk) -> np.ndarray:
+        words, shapes, first = _tokens(c)
+        k = own[_bucket(words)].astype(np.int64)
         left, right = _sides(k, first)
-        return np.bincount((left * CLASSES + right) * CLASSES + k, minlength=CLASSES**3)
+        row = np.where(k > 0, k + (1 << SHAPE_BITS), shapes) * 2 * width
+        return np.bincount(np.concatenate((row + left, row + width + right)), minlength=cells)
 
-    return Model(class_of.astype(np.int16), mass, train(summed(rows, CLASSES**3, triples), **options), rows)
+    near = summed(rows, cells, neighbours).reshape(-1, 2 * width)
+    near[:, [0, width]] = 0  # what is not frequent says nothing
+    classes = classify(own, near)
+
+    def windows(c: Chunk) -> np.ndarray:
+        words, shapes, first = _tokens(c)
+        k = classes.of(words, shapes)
+        return np.bincount(classes.windows(k, first) * CLASSES + k, minlength=size)
+
+    size = KINDS ** (2 * len(REACH)) * CLASSES
+    counts = summed(rows, size, windows)
+    return Model(classes, counts.reshape(-1, CLASSES).sum(0), vocabulary(rows, classes), train(counts, **options), rows)
+
+
+def vocabulary(rows: DataFrame, classes: Classes) -> np.ndarray:
+    """The number of distinct words of each class: words of a flush go once to their bucket, which counts them."""
+    pieces = groups(rows)
+
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.unique(np.concatenate(held))
+        p, cut = _cut(keys, pieces)
+        return pa.RecordBatch.from_pydict({"p": pa.array(p, pa.int64()), "keys": pa.array([keys[a:b].tobytes() for a, b in cut], pa.binary())})
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for c in chunks(batches):
+            words, shapes, _ = _tokens(c)
+            held.append(np.unique(_word_keys(words, classes.of(words, shapes))))
+            size += len(c.buf)
+            if size >= FLUSH_BYTES:
+                yield flush(held)
+                held, size = [], 0
+        if held:
+            yield flush(held)
+
+    def count(table: pa.Table) -> pa.Table:
+        keys = np.unique(np.concatenate([np.frombuffer(x.as_py(), U64) for x in table.column("keys")]))
+        kinds = np.bincount((keys & U64(255)).astype(np.int64), minlength=CLASSES)
+        some = np.flatnonzero(kinds)
+        return pa.table({"class": some.astype(np.int32), "n": kinds[some]})
+
+    each = rows.mapInArrow(run, "p long, keys binary").groupBy("p").applyInArrow(count, "class int, n long")
+    out = np.zeros(CLASSES)
+    for r in each.groupBy("class").agg(F.sum("n").alias("n")).collect():  # a row for each class
+        out[r["class"]] = r["n"]
+    return out
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -172,9 +301,20 @@ def _numbers(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-def _keys(words: np.ndarray, first: np.ndarray, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _cut(keys: np.ndarray, pieces: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The buckets that sorted keys belong to, and each bucket's part of the keys."""
+    p = ((keys >> U64(32)) * U64(pieces) >> U64(32)).astype(np.int64)
+    at = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.empty(0, np.int64)
+    return p[at], list(zip(at.tolist(), np.append(at[1:], len(p)).tolist(), strict=True))
+
+
+def _word_keys(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    return (mix(words) & ~U64(255)) | k.astype(U64)
+
+
+def _keys(words: np.ndarray, first: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The key of each word, the key of its pair with the next word, and whether there is one in its document."""
-    word = (mix(words) & ~U64(255)) | class_of[_bucket(words)].astype(U64)
+    word = _word_keys(words, k)
     nxt = np.append(words[1:], U64(0))[: len(words)]
     pair = mix(words * U64(0xA24BAED4963EE407) + mix(nxt)) & ~U64(255)  # class 0: no word has it
     has = np.ones(len(words), bool)
@@ -183,36 +323,36 @@ def _keys(words: np.ndarray, first: np.ndarray, class_of: np.ndarray) -> tuple[n
     return word, pair, has
 
 
-def _read(table: pa.Table) -> tuple[pa.Array | list, np.ndarray, np.ndarray]:
-    """Ids, word hashes and each document's first word, of a whole group."""
-    ids, words, first, n = [], [np.empty(0, U64)], [np.zeros(1, np.int64)], 0
+def _read(table: pa.Table, classes: Classes) -> tuple[pa.Array | list, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, word hashes, their classes and each document's first word, of a whole group."""
+    ids, words, kinds, first, n = [], [np.empty(0, U64)], [np.empty(0, np.int64)], [np.zeros(1, np.int64)], 0
     for c in chunks(table.to_batches()):
-        w, f = _hashes(c)
+        w, s, f = _tokens(c)
         ids.append(c.ids)
         words.append(w)
+        kinds.append(classes.of(w, s))
         first.append(f[1:] + n)
         n += len(w)
-    return ids, np.concatenate(words), np.concatenate(first)
+    return ids, np.concatenate(words), np.concatenate(kinds), np.concatenate(first)
 
 
 def _messages(rows: DataFrame, pieces: int, sent: object, *, asks: bool, tells: bool) -> DataFrame:
-    """One message of each group to each bucket: its distinct keys and their counts (0 unless it tells); g is -1 unless it asks."""
+    """One message of each group to each bucket that it has keys of: distinct keys and their counts (0 unless it tells); g is -1 unless it asks."""
 
     def run(table: pa.Table) -> pa.Table:
-        _, words, first = _read(table)
-        word, pair, has = _keys(words, first, sent.value.class_of)
+        _, words, k, first = _read(table, sent.value.classes)
+        word, pair, has = _keys(words, first, k)
         keys, counts = np.unique(np.concatenate((word, pair[has])), return_counts=True)
-        cuts = np.searchsorted((keys >> U64(32)) * U64(pieces) >> U64(32), np.arange(pieces + 1, dtype=U64))
-        cut = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-        step = [np.diff(keys[a:b], prepend=U64(0)) if b > a else keys[a:b] for a, b in cut]
+        p, cut = _cut(keys, pieces)
+        step = [np.diff(keys[a:b], prepend=U64(0)) for a, b in cut]
         g = table.column("g")[0].as_py()
-        return pa.table({"g": pa.array([g if asks else -1] * pieces, pa.int32()), "p": pa.array(range(pieces), pa.int32()), "keys": pa.array(map(_planes, step), pa.binary()), "counts": pa.array([_planes(counts[a:b] * tells) for a, b in cut], pa.binary())})
+        return pa.table({"g": pa.array([g if asks else -1] * len(p), pa.int64()), "p": pa.array(p, pa.int64()), "keys": pa.array(map(_planes, step), pa.binary()), "counts": pa.array([_planes(counts[a:b] * tells) for a, b in cut], pa.binary())})
 
     return rows.groupBy("g").applyInArrow(run, _MESSAGE)
 
 
 def _answers(messages: DataFrame) -> DataFrame:
-    """To each message that asks: the counts over all messages in the order of its keys, and the bucket's distinct words of each class."""
+    """To each message that asks: the counts over all messages, in the order of its keys."""
 
     def run(table: pa.Table) -> pa.Table:
         g = table.column("g").to_pylist()
@@ -221,43 +361,41 @@ def _answers(messages: DataFrame) -> DataFrame:
         total = np.zeros(len(found), U64)
         for x, counts in zip(keys, table.column("counts"), strict=True):
             total[np.searchsorted(found, x)] += _numbers(counts.as_py())  # a message's keys are distinct
-        kinds = _planes(np.bincount((found[total > 0] & U64(255)).astype(np.int64), minlength=CLASSES))
         asked = [k for k, x in enumerate(g) if x >= 0]
         p = table.column("p")[0].as_py()
-        return pa.table({"g": pa.array([g[k] for k in asked], pa.int32()), "p": pa.array([p] * len(asked), pa.int32()), "keys": pa.array([kinds] * len(asked), pa.binary()), "counts": pa.array([_planes(total[np.searchsorted(found, keys[k])]) for k in asked], pa.binary())})
+        return pa.table({"g": pa.array([g[k] for k in asked], pa.int64()), "p": pa.array([p] * len(asked), pa.int64()), "counts": pa.array([_planes(total[np.searchsorted(found, keys[k])]) for k in asked], pa.binary())})
 
-    return messages.groupBy("p").applyInArrow(run, _MESSAGE)
+    return messages.groupBy("p").applyInArrow(run, "g long, p long, counts binary")
 
 
-def _likelihoods(words: np.ndarray, first: np.ndarray, answers: pa.Table, m: Model, own: int) -> np.ndarray:
+def _likelihoods(words: np.ndarray, k: np.ndarray, first: np.ndarray, answers: pa.Table, m: Model, own: int) -> np.ndarray:
     """log P(token | neighbours) of each token; own is 1 if the tokens' places are in the counts."""
-    word, pair, has = _keys(words, first, m.class_of)
+    word, pair, has = _keys(words, first, k)
     keys = np.unique(np.concatenate((word, pair[has])))
     rows = answers.sort_by("p")
     total = np.concatenate([_numbers(x.as_py()) for x in rows.column("counts")]).astype(np.float64)
-    kinds = np.sum([_numbers(x.as_py()) for x in rows.column("keys")], axis=0).astype(np.float64)
     others = np.maximum(total - own, 0.0)
     n, pairs = others[np.searchsorted(keys, word)], np.zeros(len(words))
     pairs[has] = others[np.searchsorted(keys, pair[has])]
     # by the left and by the right word; an edge says nothing
     after, before = np.append(0.0, pairs[:-1]), pairs
     left, right = np.append(0.0, np.where(has, n, 0.0)[:-1]), np.where(has, np.append(n[1:], 0.0), 0.0)
-    k = m.class_of[_bucket(words)].astype(np.int64)
-    a, b = _sides(k, first)
-    share = (n + 0.5) / (np.maximum(m.mass[k] - own, 0.0) + 0.5 * (kinds[k] + 1))  # one more for words never seen
-    prior = np.exp(m.log_table[(a * CLASSES + b) * CLASSES + k].astype(np.float64)) * share
-    return np.log((after + before + PRIOR * prior) / (left + right + PRIOR))
+    share = (n + 0.5) / (np.maximum(m.mass[k] - own, 0.0) + 0.5 * (m.kinds[k] + 1))  # one more for words never seen
+    prior = np.exp(m.log_table[m.classes.windows(k, first) * CLASSES + k].astype(np.float64)) * share
+    places = left + right
+    weight = PRIOR + SPREAD * places**GROWTH
+    return np.log((after + before + weight * prior) / (places + weight))
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, log_likelihood, mean_log_likelihood) of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(replace(model, rows=None))  # a fixed size, about 5 MB
+    sent = docs.sparkSession.sparkContext.broadcast(replace(model, rows=None))  # a fixed size, about 8 MB
     kind = docs.schema[id_col].dataType.simpleString()
     rows = _rows(docs, id_col, text_col)
     same = rows.sameSemantics(model.rows)
 
     def dealt(x: DataFrame) -> DataFrame:
-        return x.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups(x, GROUP_BYTES // 2))).cast("int"))
+        return x.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups(x, GROUP_BYTES // 2))))
 
     given, pieces = dealt(rows), groups(model.rows)
     messages = _messages(given, pieces, sent, asks=True, tells=same)
@@ -265,10 +403,10 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         messages = messages.unionByName(_messages(dealt(model.rows), pieces, sent, asks=False, tells=True))
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, words, first = _read(table)
+        ids, words, k, first = _read(table, sent.value.classes)
         total = np.zeros(len(first) - 1)
         if len(words):
-            total = np.bincount(owner(first), _likelihoods(words, first, answers, sent.value, int(same)), len(total))
+            total = np.bincount(owner(first), _likelihoods(words, k, first, answers, sent.value, int(same)), len(total))
         n = np.diff(first).astype(np.int64)
         return pa.table({"id": pa.chunked_array(ids, table.schema.field("doc_id").type), "n_tokens": n, "log_likelihood": np.round(total, 4), "mean_log_likelihood": pa.array(np.round(total / np.maximum(n, 1), 6), mask=n == 0)})
 
@@ -276,4 +414,4 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     return scored.withColumnRenamed("id", id_col)
 
 
-__all__ = ["CLASSES", "Model", "assign", "fit", "score", "train"]
+__all__ = ["CLASSES", "Classes", "KINDS", "Model", "REACH", "fit", "score", "summed", "train", "vocabulary"]

@@ -166,8 +166,7 @@ def test_lm_score(spark, docs):
     model = lm_score.fit(docs, epochs=20)
     got = lm_score.score(docs, model)
     assert got.count() == docs.count()
-    table = model.log_table.reshape(-1, lm_score.CLASSES)
-    assert np.allclose(np.exp(table.astype(float)).sum(1), 1, atol=1e-3)
+    assert np.allclose(np.exp(model.log_table.reshape(-1, lm_score.CLASSES).astype(float)).sum(1), 1, atol=1e-3)
     one = {r.doc_id: r for r in got.collect()}
     assert one[1].n_tokens == 0 and one[1].mean_log_likelihood is None and one[4].n_tokens == 1
     noise = spark.createDataFrame([(1, " ".join(random.Random(1).choice("qwrtz") * 9 for _ in range(200)))], "doc_id long, text string")

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -65,14 +66,12 @@ def test_lm_scores_condition_the_token(spark):
     held = [(1, " ".join(w)), (2, " ".join(sorted(w))), (3, "never seen")]  # 2: the same words in another order
     docs, other = (spark.createDataFrame(x, "doc_id long, text string") for x in (rows, held))
     model = lm_score.fit(docs, epochs=5)
-    table = model.log_table.reshape(lm_score.CLASSES, lm_score.CLASSES, -1)
+    table = model.log_table.reshape(*[lm_score.KINDS] * 4, lm_score.CLASSES)
     of = {}
-    for c in chunks(docs.toArrow().to_batches()):
-        hashes, _ = lm_score._hashes(c)
-        of |= dict(zip([x for t in c.texts() for x in t.split()], model.class_of[lm_score._bucket(hashes)].tolist()))
-    for c in chunks(other.toArrow().to_batches()):
-        hashes, _ = lm_score._hashes(c)
-        of |= dict(zip([x for t in c.texts() for x in t.split()], model.class_of[lm_score._bucket(hashes)].tolist()))
+    for df in (docs, other):
+        for c in chunks(df.toArrow().to_batches()):
+            hashes, shapes, _ = lm_score._tokens(c)
+            of |= dict(zip([x for t in c.texts() for x in t.split()], model.classes.of(hashes, shapes).tolist()))
     one, two, vocabulary = Counter(), Counter(), Counter()
     for _, t in rows:
         x = (t or "").split()
@@ -80,6 +79,7 @@ def test_lm_scores_condition_the_token(spark):
         two.update(zip(x, x[1:]))
     for x in one:
         vocabulary[of[x]] += 1
+    assert {k: n for k, n in enumerate(model.kinds.tolist()) if n} == vocabulary
     mass = Counter()
     for x, n in one.items():
         mass[of[x]] += n
@@ -89,9 +89,12 @@ def test_lm_scores_condition_the_token(spark):
         for k, y in enumerate(x):
             left, right = x[k - 1] if k else None, x[k + 1] if k + 1 < len(x) else None
             share = (max(0, one[y] - own) + 0.5) / (max(0, mass[of[y]] - own) + 0.5 * (vocabulary[of[y]] + 1))
-            first = math.exp(table[of.get(left, 0), of.get(right, 0), of[y]]) * share
+            at = lambda j: model.classes.kind[of[x[j]]] if 0 <= j < len(x) else 0
+            first = math.exp(table[at(k - 1), at(k + 1), at(k - 2), at(k + 2), of[y]]) * share
             pairs = sum(max(0, two[p] - own) for p in ((left, y), (y, right)) if None not in p)
-            out += math.log((pairs + lm_score.PRIOR * first) / (sum(max(0, one[z] - own) for z in (left, right) if z) + lm_score.PRIOR))
+            places = sum(max(0, one[z] - own) for z in (left, right) if z)
+            weight = lm_score.PRIOR + lm_score.SPREAD * places**lm_score.GROWTH
+            out += math.log((pairs + weight * first) / (places + weight))
         return out
 
     for df, want, own in ((docs, rows, 1), (other, held, 0)):
@@ -100,3 +103,16 @@ def test_lm_scores_condition_the_token(spark):
         for i, t in want:
             assert got[i].log_likelihood == pytest.approx(by_hand(t, own), abs=2e-3), i
     assert got[1].log_likelihood > got[2].log_likelihood + 1  # order within a class matters
+
+
+def test_lm_beats_word_frequencies(spark):
+    """On real texts, each token judged without its own place: far better than by its frequency alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"])
+    got = lm_score.score(docs, lm_score.fit(docs)).agg({"log_likelihood": "sum", "n_tokens": "sum"}).first()
+    words = [w for r in docs.select("text").collect() for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))]
+    count = Counter(words)
+    total, kinds = len(words), len(count)
+    alone = sum(n * math.log((n - 1 + 0.5) / (total - 1 + 0.5 * (kinds + 1))) for n in count.values()) / total
+    mean = got["sum(log_likelihood)"] / got["sum(n_tokens)"]
+    print("per token:", round(mean, 3), "frequency alone:", round(alone, 3))
+    assert mean > alone + 1
