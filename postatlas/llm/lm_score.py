@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scale import GROUP_BYTES, groups
-from .textcore import LOWER, SPACE_WORDS, U64, Chunk, chunks, mix, owner, split_words, word_hashes
+from .textcore import LOWER, SPACE_WORDS, U64, Chunk, chunks, distinct, mix, numbered, owner, split_words, word_hashes
 
 BUCKET_BITS = 17
 CLASSES = 96  # class 0 is the text's edge
@@ -62,7 +62,7 @@ _MESSAGE = "g long, p long, keys binary, counts binary"
 #: Text bytes whose distinct words are sent at once.
 FLUSH_BYTES = 16 << 20
 #: Tables that one task adds up.
-_TREE = 32
+_TREE = 16
 
 
 def _tokens(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,30 +93,40 @@ def _sides(classes: np.ndarray, first: np.ndarray, distance: int = 1) -> tuple[n
 
 
 def summed(docs: DataFrame, size: int, count: Callable[[Chunk], np.ndarray]) -> np.ndarray:
-    """The sum over all documents of a count table of a fixed size, one compressed table for each task, united in stages."""
+    """The sum over all documents of a count table of a fixed size, one compressed table of the cells that are not zero for each task, united in a tree."""
+
+    def packed(total: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(total)
+        table = zlib.compress(at.astype(np.int32).tobytes() + total[at].tobytes(), 1)
+        return pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "table": pa.array([table], pa.binary())})
+
+    def unpacked(table: bytes, total: np.ndarray) -> None:
+        raw = zlib.decompress(table)
+        n = len(raw) // 12
+        total[np.frombuffer(raw, np.int32, n)] += np.frombuffer(raw[4 * n :], np.int64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for c in chunks(batches):
             total += count(c)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "table": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+        yield packed(total)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for b in batches:
             for x in b.column("table"):
-                total += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "table": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+                unpacked(x.as_py(), total)
+        yield packed(total)
 
     schema = "part int, table binary"
     united = docs.select("doc_id", "text").mapInArrow(run, schema)
     parts = united._jdf.queryExecution().toRdd().getNumPartitions()
-    while parts > _TREE:
+    while parts > 1:
         parts = -(-parts // _TREE)
         united = united.repartition(parts).mapInArrow(add, schema)
     total = np.zeros(size, np.int64)
-    for row in united.toLocalIterator():  # at most _TREE tables of a fixed size, one after another
-        total += np.frombuffer(zlib.decompress(row["table"]), np.int64)
+    for row in united.collect():  # one table of a fixed size
+        unpacked(row["table"], total)
     return total
 
 
@@ -263,7 +273,7 @@ def vocabulary(rows: DataFrame, classes: Classes) -> np.ndarray:
     pieces = groups(rows)
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys = np.unique(np.concatenate(held))
+        keys = distinct(np.concatenate(held))
         p, cut = _cut(keys, pieces)
         return pa.RecordBatch.from_pydict({"p": pa.array(p, pa.int64()), "keys": pa.array([keys[a:b].tobytes() for a, b in cut], pa.binary())})
 
@@ -271,7 +281,7 @@ def vocabulary(rows: DataFrame, classes: Classes) -> np.ndarray:
         held, size = [], 0
         for c in chunks(batches):
             words, shapes, _ = _tokens(c)
-            held.append(np.unique(_word_keys(words, classes.of(words, shapes))))
+            held.append(distinct(_word_keys(words, classes.of(words, shapes))))
             size += len(c.buf)
             if size >= FLUSH_BYTES:
                 yield flush(held)
@@ -280,7 +290,7 @@ def vocabulary(rows: DataFrame, classes: Classes) -> np.ndarray:
             yield flush(held)
 
     def count(table: pa.Table) -> pa.Table:
-        keys = np.unique(np.concatenate([np.frombuffer(x.as_py(), U64) for x in table.column("keys")]))
+        keys = distinct(np.concatenate([np.frombuffer(x.as_py(), U64) for x in table.column("keys")]))
         kinds = np.bincount((keys & U64(255)).astype(np.int64), minlength=CLASSES)
         some = np.flatnonzero(kinds)
         return pa.table({"class": some.astype(np.int32), "n": kinds[some]})
@@ -357,7 +367,7 @@ def _answers(messages: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         g = table.column("g").to_pylist()
         keys = [np.cumsum(_numbers(x.as_py()), dtype=U64) for x in table.column("keys")]
-        found = np.unique(np.concatenate(keys))
+        found = distinct(np.concatenate(keys))
         total = np.zeros(len(found), U64)
         for x, counts in zip(keys, table.column("counts"), strict=True):
             total[np.searchsorted(found, x)] += _numbers(counts.as_py())  # a message's keys are distinct
@@ -371,12 +381,12 @@ def _answers(messages: DataFrame) -> DataFrame:
 def _likelihoods(words: np.ndarray, k: np.ndarray, first: np.ndarray, answers: pa.Table, m: Model, own: int) -> np.ndarray:
     """log P(token | neighbours) of each token; own is 1 if the tokens' places are in the counts."""
     word, pair, has = _keys(words, first, k)
-    keys = np.unique(np.concatenate((word, pair[has])))
+    at = numbered(np.concatenate((word, pair[has])))
     rows = answers.sort_by("p")
     total = np.concatenate([_numbers(x.as_py()) for x in rows.column("counts")]).astype(np.float64)
     others = np.maximum(total - own, 0.0)
-    n, pairs = others[np.searchsorted(keys, word)], np.zeros(len(words))
-    pairs[has] = others[np.searchsorted(keys, pair[has])]
+    n, pairs = others[at[: len(word)]], np.zeros(len(words))
+    pairs[has] = others[at[len(word) :]]
     # by the left and by the right word; an edge says nothing
     after, before = np.append(0.0, pairs[:-1]), pairs
     left, right = np.append(0.0, np.where(has, n, 0.0)[:-1]), np.where(has, np.append(n[1:], 0.0), 0.0)
