@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .textcore import sliding_min
+from .textcore import distinct, sliding_min
 
 NONE = np.int64(1) << 40
 #: Symbols from which a word is merged by local minima.
@@ -43,7 +43,7 @@ class PairTable:
         self.flat, self.start, self.size = flat, np.cumsum(size) - size, size
         inner = np.ones(max(len(flat) - 1, 0), bool)
         inner[self.start[1:] - 1] = False
-        self.inside = np.append(np.unique((flat[:-1] << 32) | flat[1:]) if not len(inner) else np.unique(((flat[:-1] << 32) | flat[1:])[inner]), np.iinfo(np.int64).max)
+        self.inside = np.append(distinct(((flat[:-1] << 32) | flat[1:])[inner]), np.iinfo(np.int64).max)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys = (left << 32) | right
@@ -90,7 +90,7 @@ def merge_long(symbols: np.ndarray, table: PairTable) -> np.ndarray:
         keep[at + 1] = False
         moved = np.cumsum(keep) - 1
         sym, rank, prod = sym[keep], np.append(rank, NONE)[keep][:-1], np.append(prod, -1)[keep][:-1]
-        near = np.unique(np.concatenate((moved[at], moved[at] - 1)))
+        near = distinct(np.concatenate((moved[at], moved[at] - 1)))
         near = near[(near >= 0) & (near < len(rank))]
         rank[near], prod[near] = table.find(sym[near], sym[near + 1])
     return sym

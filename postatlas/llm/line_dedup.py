@@ -18,8 +18,11 @@ judged on the input; lines without words stay.
 
 Edge cases: a null text has no lines and stays null; repeated rows of one
 document have one place, so neither removes the other; rows without an id are
-kept whole; an empty table gives an empty one; columns beyond doc_id and text
-pass through.
+kept whole, with their lines counted; an empty table gives an empty one;
+columns beyond doc_id and text pass through, whatever their names.
+
+The bound is one word whatever a line's length: two lines that differ in two
+words or more both stay.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import unused
 from .scale import groups
 from .stretches import MESSAGE, _batch, _dealt, _kinds
 from .textcore import SPACE_WORDS, U64, Chunk, Spans, _tables, chunks, mix, split_words, unpack_all, word_hashes
@@ -43,7 +47,6 @@ _PLACE = (np.int64, np.int32)
 _VARIANT = (U64, np.int32, np.int64, np.int32)  # variant, place of the deleted word or -1, document, number
 _LINK = (np.int64, np.int32, np.int64, np.int32)  # line, witness
 FLUSH_BYTES = 16 << 20
-GROUP = "__line_group"
 
 
 class Lines:
@@ -274,16 +277,15 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
 
 
 def drop_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with their own columns, text less the removed lines, and n_lines and n_removed (renamed if taken, with a leading underscore)."""
+    """The documents with their own columns, text less the removed lines, and n_lines and n_removed (with leading underscores if taken)."""
     g = groups(docs)
-    names = docs.columns
-    n_lines, n_removed = (x if x not in names else f"_{x}" for x in ("n_lines", "n_removed"))
+    n_lines, n_removed, group = (unused(x, docs.columns) for x in ("n_lines", "n_removed", "line_group"))
     kept = docs.withColumns({"text": F.col("text").cast("string"), n_lines: F.lit(0).cast("long"), n_removed: F.lit(0).cast("long")})
-    dealt = kept.where("doc_id is not null").withColumn(GROUP, F.pmod(F.col("doc_id").cast("long"), F.lit(g)))
+    dealt = kept.where("doc_id is not null").withColumn(group, F.pmod(F.col("doc_id").cast("long"), F.lit(g)))
     rows = kept.where("doc_id is not null").select("doc_id", "text")
 
     def cogrouped(m: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: object = MESSAGE) -> DataFrame:
-        return dealt.groupBy(GROUP).cogroup(m.groupBy("b")).applyInArrow(run, schema)
+        return dealt.groupBy(group).cogroup(m.groupBy("b")).applyInArrow(run, schema)
 
     m = rows.mapInArrow(_scan(g, min_words), MESSAGE)
     m = m.groupBy("b").applyInArrow(_settle(g), MESSAGE)
@@ -294,11 +296,8 @@ def drop_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     def finish(table: pa.Table, messages: pa.Table) -> pa.Table:
         kinds = _kinds(messages)
         doc, number = unpack_all(kinds.get(DROP, []), *_PLACE)
-        near = []
-        for p in kinds.get(TEXT, []):
-            k = int.from_bytes(p[:8], "little")
-            near.append((np.frombuffer(p, np.int64, k, 8), np.frombuffer(p, np.int32, k, 8 + 8 * k), p[8 + 12 * k :].split()))
-        table = table.drop_columns([GROUP])
+        near = _Witnesses(kinds.get(TEXT, []))
+        table = table.drop_columns([group])
         out = []
         for c in chunks(table.select(["doc_id", "text"]).to_batches()):
             out.append(_cut(c, doc, number, near))
@@ -311,11 +310,22 @@ def drop_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
         return table
 
     out = cogrouped(m, finish, kept.schema)
-    nameless = kept.where("doc_id is null").withColumn(n_lines, F.coalesce(F.size(F.split("text", "\n")).cast("long"), F.lit(0).cast("long")))
+    nameless = kept.where("doc_id is null").withColumn(n_lines, F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long"))
     return out.unionByName(nameless)
 
 
-def _cut(c: Chunk, doc: np.ndarray, number: np.ndarray, near: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class _Witnesses:
+    """The lines that have witnesses, flat, and the witnesses' words."""
+
+    def __init__(self, payloads: list[bytes]):
+        size = [int.from_bytes(p[:8], "little") for p in payloads]
+        self.doc = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(p, np.int64, k, 8) for p, k in zip(payloads, size, strict=True))])
+        self.number = np.concatenate([np.empty(0, np.int32), *(np.frombuffer(p, np.int32, k, 8 + 8 * k) for p, k in zip(payloads, size, strict=True))])
+        self.of = np.repeat(np.arange(len(size)), size)
+        self.words = [p[8 + 12 * k :].split() for p, k in zip(payloads, size, strict=True)]
+
+
+def _cut(c: Chunk, doc: np.ndarray, number: np.ndarray, near: _Witnesses) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lines, ids = Lines(c), c.id_values.astype(np.int64)
     gone = np.zeros(len(lines.doc), bool)
     place = {}
@@ -324,11 +334,10 @@ def _cut(c: Chunk, doc: np.ndarray, number: np.ndarray, near: list[tuple]) -> tu
     repeated = any(len(x) > 1 for x in place.values())
     here, line = _asked(lines, ids, doc, number)
     gone[line] = True
-    for vd, vn, words in near:
-        here, line = _asked(lines, ids, vd, vn)
-        for at in line.tolist():
-            if not gone[at] and within_one(lines.words(at), words):
-                gone[at] = True
+    here, line = _asked(lines, ids, near.doc, near.number)
+    for at, of in zip(line.tolist(), near.of[here].tolist(), strict=True):
+        if not gone[at] and within_one(lines.words(at), near.words[of]):
+            gone[at] = True
     if repeated:  # rows of one document are alike
         for x in place.values():
             for other in x[1:]:

@@ -314,7 +314,9 @@ def _numbers(raw: bytes) -> np.ndarray:
 def _cut(keys: np.ndarray, pieces: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """The buckets that sorted keys belong to, and each bucket's part of the keys."""
     p = ((keys >> U64(32)) * U64(pieces) >> U64(32)).astype(np.int64)
-    at = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.empty(0, np.int64)
+    if not len(p):
+        return p, []
+    at = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
     return p[at], list(zip(at.tolist(), np.append(at[1:], len(p)).tolist(), strict=True))
 
 
