@@ -220,10 +220,12 @@ def numbered(keys: np.ndarray) -> np.ndarray:
     """For each key its index among the sorted distinct ones."""
     order = np.argsort(keys)
     ordered = keys[order]
-    new = np.zeros(len(keys), np.int64)
-    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.zeros(len(keys), np.int64)
+    number[1:] = ordered[1:] != ordered[:-1]
+    del ordered
+    np.cumsum(number, out=number)
     out = np.empty(len(keys), np.int64)
-    out[order] = np.cumsum(new)
+    out[order] = number
     return out
 
 
