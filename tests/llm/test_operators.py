@@ -200,6 +200,23 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(41)) and got[100] == got[75] == 50
 
 
+def test_components_with_hubs(spark):
+    """Two hubs with thousands of links, chains between their leaves, and a node of its own."""
+    links = [(5000 + i, 9000) for i in range(3000)] + [(9000 + i, 12500) for i in range(3, 2500)] + [(5003, 3), (3, 2), (9000 + 7, 1), (20000, 20001), (20002, 20002)]
+    got = {r.node: r.component for r in components.connected(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()}
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        p, q = root(a), root(b)
+        up[max(p, q)] = min(p, q)
+    assert got == {x: root(x) for x in list(up)}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     bench = spark.createDataFrame([], "item_id long, text string")
