@@ -13,6 +13,10 @@ judged on the input; lines without words stay.
 3. Equal variants are joined.  Variants less the word of one place differ by a
    replacement, a variant equal to a whole line by a deletion; each line's
    witness is the earliest of its group, a minimum, so no pairs are enumerated.
+   Both exchanges combine before they send, so no half or variant is hot: lines
+   that share a half within a flush are marked there and two of them stand for
+   the flush; lines that share a variant within a group have its earliest as
+   their witness, and that one alone goes on.
 4. The witness's text is sent to its line, the edit distance is verified on
    the words, and the earlier line is kept.
 
@@ -37,11 +41,11 @@ from pyspark.sql import functions as F
 from ..shared import unused
 from .scale import groups
 from .stretches import MESSAGE, _batch, _dealt, _kinds
-from .textcore import SPACE_WORDS, U64, Chunk, Spans, _tables, chunks, mix, split_words, unpack_all, word_hashes
+from .textcore import SPACE_WORDS, U64, Chunk, Spans, _tables, chunks, distinct, mix, split_words, unpack_all, word_hashes
 
 MIN_WORDS = 8
 FULL, HALF, DROP, ASK, VARIANT, LINK, TEXT = range(7)
-_FULL = (U64, np.int64, np.int32)  # line, document, number
+_FULL = (U64, np.int64, np.int32, np.uint8)  # line, document, number, whether a different line shares a half
 _HALF = (U64, U64, np.int64, np.int32)  # half, line, document, number
 _PLACE = (np.int64, np.int32)
 _VARIANT = (U64, np.int32, np.int64, np.int32)  # variant, place of the deleted word or -1, document, number
@@ -101,6 +105,15 @@ def _earliest(keys: list[np.ndarray], doc: np.ndarray, number: np.ndarray) -> tu
     return order, head
 
 
+def _shared(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted keys: whether another entry has the same, and how many entries before have it."""
+    at = np.arange(len(key))
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    nth = at - np.flatnonzero(new)[np.cumsum(new) - 1] if len(key) else at
+    return (nth > 0) | ~np.append(new[1:], True)[: len(key)], nth
+
+
 def _bucket(key: np.ndarray, g: int) -> np.ndarray:
     return (key >> U64(20)).astype(np.int64) % g
 
@@ -119,15 +132,19 @@ def _scan(g: int, min_words: int) -> Callable[[Iterable[pa.RecordBatch]], Iterat
     def flush(held: list[tuple]) -> pa.RecordBatch:
         full = [np.concatenate([h[0][i] for h in held]) for i in range(3)]
         half = [np.concatenate([h[1][i] for h in held]) for i in range(4)]
+        order, head = _earliest(half[:2], *half[2:])
+        rep = order[head == np.arange(len(head))]
+        half = [x[rep] for x in half]  # different lines of each half
+        shared, nth = _shared(half[0])
+        marked = distinct(half[1][shared])
         order, head = _earliest(full[:1], *full[1:])
         k, d, n = (x[order] for x in full)
         late = (d != d[head]) | (n != n[head])
         rep = head == np.arange(len(head))
-        rows = [*_dealt(DROP, d[late] % g, [d[late], n[late]]), *_dealt(FULL, _bucket(k[rep], g), [k[rep], d[rep], n[rep]])]
-        order, head = _earliest(half[:2], *half[2:])
-        rep = head == np.arange(len(head))
-        cols = [x[order][rep] for x in half]
-        rows += _dealt(HALF, _bucket(cols[0], g), cols)
+        near = np.isin(k[rep], marked).astype(np.uint8)
+        rows = [*_dealt(DROP, d[late] % g, [d[late], n[late]]), *_dealt(FULL, _bucket(k[rep], g), [k[rep], d[rep], n[rep], near])]
+        two = [x[nth < 2] for x in half]
+        rows += _dealt(HALF, _bucket(two[0], g), two)
         return _batch(rows)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,19 +169,19 @@ def _settle(g: int) -> Callable[[pa.Table], pa.Table]:
         kinds, b = _kinds(table), table.column("b")[0].as_py()
         rows = [(b, DROP, p) for p in kinds.get(DROP, [])]
         if FULL in kinds:
-            k, d, n = unpack_all(kinds[FULL], *_FULL)
+            k, d, n, near = unpack_all(kinds[FULL], *_FULL)
             order, head = _earliest([k], d, n)
             d, n = d[order], n[order]
             late = (d != d[head]) | (n != n[head])
             rows += _dealt(DROP, d[late] % g, [d[late], n[late]])
+            first = np.unique(head[near[order] > 0])
+            rows += _dealt(ASK, d[first] % g, [d[first], n[first]])
         if HALF in kinds:
             h, k, d, n = unpack_all(kinds[HALF], *_HALF)
             order, head = _earliest([h, k], d, n)
             rep = order[head == np.arange(len(head))]
             h, d, n = h[rep], d[rep], n[rep]  # different lines of each half
-            near = np.zeros(len(h), bool)
-            near[1:] |= h[1:] == h[:-1]
-            near[:-1] |= h[1:] == h[:-1]
+            near, _ = _shared(h)
             rows += _dealt(ASK, d[near] % g, [d[near], n[near]])
         return pa.Table.from_batches([_batch(rows)])
 
@@ -188,6 +205,7 @@ def _emit(g: int, min_words: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         doc, number = unpack_all(kinds.get(ASK, []), *_PLACE)
         if len(doc):
             doc, number = np.unique(np.stack([doc, number.astype(np.int64)]), axis=1)
+            held = []
             for c in chunks(docs.to_batches()):
                 lines, ids = Lines(c), c.id_values.astype(np.int64)
                 here, line = _asked(lines, ids, doc, number)
@@ -198,7 +216,15 @@ def _emit(g: int, min_words: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 keys = np.concatenate((key, lines.hashes()[line]))
                 places = np.concatenate((place, np.full(len(line), -1))).astype(np.int32)
                 of = np.concatenate((of, line))
-                rows += _dealt(VARIANT, _bucket(keys, g), [keys, places, ids[lines.doc[of]], lines.number[of]])
+                held.append([keys, places, ids[lines.doc[of]], lines.number[of]])
+            if held:
+                k, place, d, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                order, head = _earliest([k, place], d, n)
+                k, place, d, n = k[order], place[order], d[order], n[order]
+                v = np.flatnonzero((place >= 0) & ((d != d[head]) | (n != n[head])))
+                rows += _dealt(LINK, d[head[v]] % g, [d[v], n[v], d[head[v]], n[head[v]]])
+                rep = head == np.arange(len(head))
+                rows += _dealt(VARIANT, _bucket(k[rep], g), [k[rep], place[rep], d[rep], n[rep]])
         return pa.Table.from_batches([_batch(rows)])
 
     return run
@@ -207,7 +233,7 @@ def _emit(g: int, min_words: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def _join(g: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         kinds, b = _kinds(table), table.column("b")[0].as_py()
-        rows = [(b, DROP, p) for p in kinds.get(DROP, [])]
+        rows = [(b, kind, p) for kind in (DROP, LINK) for p in kinds.get(kind, [])]
         if VARIANT in kinds:
             k, place, d, n = unpack_all(kinds[VARIANT], *_VARIANT)
             order, head = _earliest([k, place], d, n)
