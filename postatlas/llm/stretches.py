@@ -16,6 +16,15 @@ packed arrays:
 4. by anchor: an index over the bucket's stretches (a run-length index or
    suffix trees) finds each window that also starts earlier.
 
+An anchor that many different stretches share (``HOT_STRETCHES`` or more in one
+flush) is hot everywhere: its flushes send a mark to the anchor's bucket, and
+their stretches to buckets by anchor and fingerprint.  The units of a hot
+anchor's stretches are dealt by second anchors, of nearly a window's size, after
+equal parts are settled where the documents are.  Equal windows have equal
+second anchors too, so nothing is lost, and no bucket holds a hot anchor's
+contexts: the anchor's own gets a mark, or fewer stretches than the limit, from
+each flush.
+
 The result is the covered units of each document, applied where the documents
 are (the exchange of the documents by group is the one of step 3, reused).
 Group and bucket numbers grow with the input, so each is of a bounded size.
@@ -32,16 +41,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scale import groups
-from .textcore import SPACE_WORDS, U64, Chunk, Spans, chunks, covered, owner, pack, sliding_min, split_words, unpack_all, word_hashes
+from .textcore import SPACE_WORDS, U64, Chunk, Spans, chunks, covered, distinct, mix, owner, pack, sliding_min, split_words, unpack_all, word_hashes
 
 MESSAGE = "b long, kind int, payload binary"
 _SCHEMA = pa.schema([("b", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
-QUERY, REMOVE, ASK, UNITS = 0, 1, 2, 3
+QUERY, REMOVE, ASK, UNITS, MARK = range(5)
 _QUERY = (U64, U64, np.int64, np.int32, np.int32)  # anchor, fingerprint, document, start, windows
 _REMOVE = (np.int64, np.int32, np.int32)  # document, start, units
 _ASK = (U64, U64, np.int64, np.int32, np.int32)
 #: Added to a stretch's number of windows where it may repeat within itself.
 SELF = 1 << 30
+#: Added to it where the anchor is hot.
+HOT = 1 << 29
+#: Different stretches of one anchor in one flush that make the anchor hot.
+HOT_STRETCHES = 32
 #: Text bytes whose stretches are compared within a task before they are sent.
 FLUSH_BYTES = 16 << 20
 
@@ -55,6 +68,12 @@ class Spec:
     other_document: bool
     #: (units, starts, sizes, document, start in document) -> flag for each unit: a window that also starts earlier begins here
     index: Callable[..., np.ndarray]
+    hot: int = HOT_STRETCHES
+
+    @property
+    def places(self) -> int:
+        """Places of a second anchor in a window."""
+        return max(1, (self.length - self.gram) // 4)
 
 
 def units(c: Chunk, spec: Spec) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray] | None]:
@@ -146,8 +165,18 @@ def _settle(q: list[np.ndarray], spec: Spec) -> tuple[np.ndarray, np.ndarray, li
     return new, ~(same_doc & (q[3] == q[3][head])), q
 
 
+def _contexts(q: list[np.ndarray]) -> np.ndarray:
+    """For each of the sorted stretches: how many different ones its anchor has."""
+    anchor = np.ones(len(q[0]), bool)
+    anchor[1:] = q[0][1:] != q[0][:-1]
+    new = anchor.copy()
+    new[1:] |= q[1][1:] != q[1][:-1]
+    of = np.cumsum(anchor) - 1
+    return np.bincount(of, new, int(anchor.sum()))[of]
+
+
 def _removals(q: list[np.ndarray], spec: Spec, g: int) -> Iterator[tuple[int, int, bytes]]:
-    r = _merged_spans(q[2], q[3], (q[4] & (SELF - 1)) + (spec.length - 1))
+    r = _merged_spans(q[2], q[3], (q[4] & (HOT - 1)) + (spec.length - 1))
     return _dealt(REMOVE, r[0] % g, r)
 
 
@@ -157,7 +186,11 @@ def _step1(spec: Spec, g: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[
             q = [np.concatenate(x) for x in zip(*held, strict=True)]
             ask, late, q = _settle(q, spec)
             sent = [x[ask] for x in q]
-            return _batch([*_dealt(QUERY, _bucket(sent[0], g), sent), *_removals([x[late] for x in q], spec, g)])
+            hot = _contexts(sent) >= spec.hot
+            sent[4] = sent[4] | np.where(hot, HOT, 0).astype(np.int32)
+            marks = distinct(sent[0][hot])
+            to = _bucket(np.where(hot, mix(sent[0] + sent[1]), sent[0]), g)
+            return _batch([*_dealt(QUERY, to, sent), *_dealt(MARK, _bucket(marks, g), [marks]), *_removals([x[late] for x in q], spec, g)])
 
         held, size = [], 0
         for c in chunks(batches):
@@ -189,13 +222,9 @@ def _step2(spec: Spec, g: int) -> Callable[[pa.Table], pa.Table]:
             ask, late, q = _settle(q, spec)
             rows += _removals([x[late] for x in q], spec, g)
             q = [x[ask] for x in q]
-            # anchors with several different stretches
-            new = np.ones(len(q[0]), bool)
-            new[1:] = q[0][1:] != q[0][:-1]
-            at = np.flatnonzero(new)
-            end = np.append(at[1:], len(new))
-            several = np.repeat(q[1][at] != q[1][end - 1], end - at) if len(at) else new
-            q = [x[several | (q[4] >= SELF)] for x in q]
+            marks = unpack_all(kinds.get(MARK, []), U64)[0]
+            q[4] = q[4] | np.where(np.isin(q[0], marks), HOT, 0).astype(np.int32)
+            q = [x[(_contexts(q) > 1) | (q[4] >= HOT)] for x in q]
             rows += _dealt(ASK, q[2] % g, q)
         return pa.Table.from_batches([_batch(rows)])
 
@@ -210,6 +239,32 @@ def _rows_of(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return there, order[at[there]]
 
 
+def _units(u: np.ndarray, g: int, key: np.ndarray, alone: np.ndarray, doc: np.ndarray, at: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """The units of stretches, one message for each bucket; with each its key, 0 where it may repeat alone."""
+    b = _bucket(key, g)
+    order = np.argsort(b, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(b[order])) + 1):
+        if len(part):
+            s = size[part]
+            flat = u[np.repeat(start[part] - (np.cumsum(s) - s), s) + np.arange(s.sum())]
+            head = pack(np.array([len(part)]), doc[part], at[part], s.astype(np.int32), np.where(alone[part], U64(0), key[part]))
+            yield int(b[part[0]]), UNITS, head + flat.tobytes()
+
+
+def _finer(spans: Spans, spec: Spec, start: np.ndarray, n: np.ndarray, doc: np.ndarray, at: np.ndarray, alone: np.ndarray) -> list[np.ndarray]:
+    """Stretches (their first windows and numbers of windows) cut where the second anchor changes: columns of _QUERY, and each part's first unit."""
+    least = sliding_min(spans.windows(spec.length - spec.places + 1), spec.places)
+    of = np.repeat(np.arange(len(start)), n)
+    w = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    key = least[start[of] + w]
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (key[1:] != key[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(of)))
+    begin = start[of[first]] + w[first]
+    return [key[first], spans.hash(begin, begin + size + spec.length - 1), doc[of[first]], (at[of[first]] + w[first]).astype(np.int32), (size | alone[of[first]]).astype(np.int32), begin]
+
+
 def _step3(spec: Spec, g: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
         kinds = _kinds(table)
@@ -219,27 +274,45 @@ def _step3(spec: Spec, g: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             rows += _dealt(REMOVE, r[0] % g, r)
         if ASK in kinds and docs.num_rows:
             q = unpack_all(kinds[ASK], *_ASK)
+            order = np.lexsort((q[3], q[2], q[0]))
+            q = [x[order] for x in q]
+            new = np.ones(len(order), bool)  # a repeated row may have asked too
+            new[1:] = (q[0][1:] != q[0][:-1]) | (q[2][1:] != q[2][:-1]) | (q[3][1:] != q[3][:-1])
+            q = [x[new] for x in q]
+            parts = []
             open_ = np.ones(len(q[0]), bool)
             for c in chunks(docs.to_batches()):
                 u, first, _ = units(c, spec)
                 hit, row = _rows_of(c.id_values, q[2][open_])
                 hit = np.flatnonzero(open_)[hit]
                 start = first[row] + q[3][hit]
-                size = (q[4][hit] & (SELF - 1)).astype(np.int64) + (spec.length - 1)
+                size = (q[4][hit] & (HOT - 1)).astype(np.int64) + (spec.length - 1)
                 inside = start + size <= first[row + 1]
                 hit, start, size = hit[inside], start[inside], size[inside]
-                equal = Spans(u).hash(start, start + size) == q[1][hit] if len(hit) else np.empty(0, bool)
+                if not len(hit):
+                    continue
+                spans = Spans(u)
+                equal = spans.hash(start, start + size) == q[1][hit]
                 hit, start, size = hit[equal], start[equal], size[equal]
                 open_[hit] = False
-                b = _bucket(q[0][hit], g)
-                order = np.argsort(b, kind="stable")
-                cut = np.flatnonzero(np.diff(b[order])) + 1
-                for part in np.split(order, cut):
-                    if len(part):
-                        s = size[part]
-                        flat = u[np.repeat(start[part] - (np.cumsum(s) - s), s) + np.arange(s.sum())]
-                        head = pack(np.array([len(part)]), q[2][hit[part]], q[3][hit[part]], s.astype(np.int32))
-                        rows.append((int(b[part[0]]), UNITS, head + flat.tobytes()))
+                hot = (q[4][hit] & HOT) > 0
+                alone = q[4][hit] & SELF
+                cool = [x[~hot] for x in (q[0][hit], alone > 0, q[2][hit], q[3][hit], start, size)]
+                rows += _units(u, g, *cool)
+                if hot.any():
+                    part = _finer(spans, spec, start[hot], size[hot] - (spec.length - 1), q[2][hit[hot]], q[3][hit[hot]], alone[hot])
+                    size = (part[4] & (HOT - 1)).astype(np.int64) + (spec.length - 1)
+                    flat = np.repeat(part[5] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                    parts.append((part[:5], u[flat]))
+            if parts:
+                fine = [np.concatenate([p[0][i] for p in parts]) for i in range(5)]
+                flat = np.concatenate([p[1] for p in parts])
+                size = (fine[4] & (HOT - 1)).astype(np.int64) + (spec.length - 1)
+                start = np.cumsum(size) - size
+                order = np.lexsort((fine[3], fine[2], fine[1], fine[0]))
+                ask, late, fine = _settle(fine, spec)
+                rows += _removals([x[late] for x in fine], spec, g)
+                rows += _units(flat, g, fine[0][ask], fine[4][ask] >= SELF, fine[2][ask], fine[3][ask], start[order][ask], size[order][ask])
         return pa.Table.from_batches([_batch(rows)])
 
     return run
@@ -252,17 +325,21 @@ def _step4(spec: Spec, g: int) -> Callable[[pa.Table], pa.Table]:
         kinds = _kinds(table)
         b = table.column("b")[0].as_py()
         rows = [(b, REMOVE, p) for p in kinds.get(REMOVE, [])]
-        doc, at, size, flat = [], [], [], []
+        doc, at, size, key, flat = [], [], [], [], []
         for p in kinds.get(UNITS, []):
             n = int(np.frombuffer(p, np.int64, 1)[0])
             doc.append(np.frombuffer(p, np.int64, n, 8))
             at.append(np.frombuffer(p, np.int32, n, 8 + 8 * n))
             size.append(np.frombuffer(p, np.int32, n, 8 + 12 * n))
-            flat.append(np.frombuffer(p[8 + 16 * n :], kind))
+            key.append(np.frombuffer(p, U64, n, 8 + 16 * n))
+            flat.append(np.frombuffer(p[8 + 24 * n :], kind))
         if doc:
-            doc, at, size, flat = (np.concatenate(x) for x in (doc, at, size, flat))
+            doc, at, size, key, flat = (np.concatenate(x) for x in (doc, at, size, key, flat))
+            _, of, times = np.unique(key, return_inverse=True, return_counts=True)
+            some = (times[of] > 1) | (key == 0)  # the only part with its anchor has no partner
+            doc, at, size, flat = doc[some], at[some], size[some], flat[np.repeat(some, size)]
             starts = np.cumsum(size.astype(np.int64)) - size
-            flag = spec.index(flat, starts, size.astype(np.int64), doc, at.astype(np.int64))
+            flag = spec.index(flat, starts, size.astype(np.int64), doc, at.astype(np.int64)) if len(flat) else np.empty(0, bool)
             hit = np.flatnonzero(flag)
             of = np.searchsorted(starts, hit, "right") - 1
             r = _merged_spans(doc[of], (at[of] + hit - starts[of]).astype(np.int32), np.full(len(hit), spec.length, np.int32))
