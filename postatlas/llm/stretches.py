@@ -16,14 +16,15 @@ packed arrays:
 4. by anchor: an index over the bucket's stretches (a run-length index or
    suffix trees) finds each window that also starts earlier.
 
-An anchor that many different stretches share (``HOT_STRETCHES`` or more in one
-flush) is hot everywhere: its flushes send a mark to the anchor's bucket, and
-their stretches to buckets by anchor and fingerprint.  The units of a hot
-anchor's stretches are dealt by second anchors, of nearly a window's size, after
-equal parts are settled where the documents are.  Equal windows have equal
-second anchors too, so nothing is lost, and no bucket holds a hot anchor's
-contexts: the anchor's own gets a mark, or fewer stretches than the limit, from
-each flush.
+An anchor that many different stretches share (``HOT_STRETCHES`` or more, in one
+flush or in the anchor's bucket) is hot for all of them: where it is so in a
+flush, the flush sends a mark to the anchor's bucket, and the stretches to
+buckets by anchor and fingerprint.  The units of a hot anchor's stretches are
+dealt by second anchors, of nearly a window's size, after equal parts are
+settled where the documents are; a part alone with its second anchor has no
+partner and stays out of the index.  Equal windows have equal second anchors
+too, so nothing is lost, and no index holds a hot anchor's contexts: the
+anchor's bucket gets a mark, or fewer places than the limit, from each flush.
 
 The result is the covered units of each document, applied where the documents
 are (the exchange of the documents by group is the one of step 3, reused).
@@ -53,7 +54,7 @@ _ASK = (U64, U64, np.int64, np.int32, np.int32)
 SELF = 1 << 30
 #: Added to it where the anchor is hot.
 HOT = 1 << 29
-#: Different stretches of one anchor in one flush that make the anchor hot.
+#: Different stretches of one anchor, in one flush or in its bucket, that make the anchor hot.
 HOT_STRETCHES = 32
 #: Text bytes whose stretches are compared within a task before they are sent.
 FLUSH_BYTES = 16 << 20
@@ -223,8 +224,9 @@ def _step2(spec: Spec, g: int) -> Callable[[pa.Table], pa.Table]:
             rows += _removals([x[late] for x in q], spec, g)
             q = [x[ask] for x in q]
             marks = unpack_all(kinds.get(MARK, []), U64)[0]
-            q[4] = q[4] | np.where(np.isin(q[0], marks), HOT, 0).astype(np.int32)
-            q = [x[(_contexts(q) > 1) | (q[4] >= HOT)] for x in q]
+            n = _contexts(q)
+            q[4] = q[4] | np.where((n >= spec.hot) | np.isin(q[0], marks), HOT, 0).astype(np.int32)
+            q = [x[(n > 1) | (q[4] >= HOT)] for x in q]
             rows += _dealt(ASK, q[2] % g, q)
         return pa.Table.from_batches([_batch(rows)])
 
