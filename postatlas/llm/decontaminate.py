@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scale import checkpoint_dir
-from .textcore import ALNUM_WORDS, CHUNK_BYTES, LOWER, U64, Chunk, Spans, chunks, covered, mix, owner, runs, split_words, utf8, word_hashes
+from .textcore import ALNUM_WORDS, CHUNK_BYTES, LOWER, U64, Chunk, Spans, chunks, covered, mix, owner, runs, split_words, tidied, utf8, word_hashes
 
 #: Benchmark text sent to the tasks at once.
 PASS_BYTES = 16 << 20
@@ -201,7 +201,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, pass
             for c in chunks(batches, 2 * CHUNK_BYTES):
                 yield shard(c, built.value, passes > 1)
 
-        return rows.mapInArrow(run, f"id {kind}, tag long, {FOUND}")
+        return rows.mapInArrow(tidied(run), f"id {kind}, tag long, {FOUND}")
 
     if passes == 1:
         return found(sent(0)).drop("tag").withColumnRenamed("id", id_col)
@@ -259,7 +259,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, min
                 at = batch.schema.get_field_index(count)
                 yield batch.set_column(at, count, pa.array(n)).filter(pa.array(n < min_items))
 
-        out = out.mapInArrow(run, out.schema)
+        out = out.mapInArrow(tidied(run), out.schema)
         if passes > 1:
             out = out.checkpoint()
             built.destroy()

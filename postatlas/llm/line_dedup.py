@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ..shared import unused
 from .scale import groups
 from .stretches import MESSAGE, _batch, _dealt, _kinds
-from .textcore import SPACE_WORDS, U64, Chunk, Spans, _tables, chunks, distinct, mix, split_words, unpack_all, word_hashes
+from .textcore import SPACE_WORDS, U64, Chunk, Spans, _tables, chunks, distinct, mix, split_words, tidied, unpack_all, word_hashes
 
 MIN_WORDS = 8
 FULL, HALF, DROP, ASK, VARIANT, LINK, TEXT = range(7)
@@ -313,7 +313,7 @@ def drop_lines(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     def cogrouped(m: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: object = MESSAGE) -> DataFrame:
         return dealt.groupBy(group).cogroup(m.groupBy("b")).applyInArrow(run, schema)
 
-    m = rows.mapInArrow(_scan(g, min_words), MESSAGE)
+    m = rows.mapInArrow(tidied(_scan(g, min_words)), MESSAGE)
     m = m.groupBy("b").applyInArrow(_settle(g), MESSAGE)
     m = cogrouped(m, _emit(g, min_words))
     m = m.groupBy("b").applyInArrow(_join(g), MESSAGE)

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scale import GROUP_BYTES, groups
-from .textcore import LOWER, SPACE_WORDS, U64, Chunk, chunks, distinct, mix, numbered, owner, split_words, word_hashes
+from .textcore import LOWER, SPACE_WORDS, U64, Chunk, chunks, distinct, mix, numbered, owner, split_words, tidied, word_hashes
 
 BUCKET_BITS = 17
 CLASSES = 96  # class 0 is the text's edge
@@ -119,7 +119,7 @@ def summed(docs: DataFrame, size: int, count: Callable[[Chunk], np.ndarray]) ->
         yield packed(total)
 
     schema = "part int, table binary"
-    united = docs.select("doc_id", "text").mapInArrow(run, schema)
+    united = docs.select("doc_id", "text").mapInArrow(tidied(run), schema)
     parts = united._jdf.queryExecution().toRdd().getNumPartitions()
     while parts > 1:
         parts = -(-parts // _TREE)

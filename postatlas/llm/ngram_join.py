@@ -45,7 +45,7 @@ from .components import connected
 from .lm_score import summed
 from .scale import checkpoint_dir, groups
 from .stretches import MESSAGE, _batch, _dealt, _kinds
-from .textcore import LOWER, SPACE_WORDS, U64, Chunk, Spans, chunks, mix, owner, pack, split_words, unpack_all, windows, word_hashes
+from .textcore import LOWER, SPACE_WORDS, U64, Chunk, Spans, chunks, mix, owner, pack, split_words, tidied, unpack_all, windows, word_hashes
 
 SKETCH_BITS = 20
 SIZES = 64  # sizes counted for the boundary
@@ -569,7 +569,7 @@ def join_components(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFr
         return lambda x, y: make(sent.value)(x, y)
 
     dealt = named.withColumn("b", F.pmod("doc_id", F.lit(g)))
-    m = named.mapInArrow(lazily(_first), MESSAGE)
+    m = named.mapInArrow(tidied(lazily(_first)), MESSAGE)
     m = m.groupBy("b").applyInArrow(grouped(_by_key), MESSAGE)
     m = dealt.groupBy("b").cogroup(m.groupBy("b")).applyInArrow(cogrouped(_ask_stars), MESSAGE)
     m = dealt.groupBy("b").cogroup(m.groupBy("b")).applyInArrow(cogrouped(_verify_stars), MESSAGE)

@@ -29,11 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import PairTable, merge_rounds
-from .textcore import chunks
+from .textcore import chunks, tidied
 
 SPACE = "▁"
 #: Distinct segments kept by a Python worker before its table starts anew.
 TABLE_SEGMENTS = 500_000
+#: Bytes that these may take, with about ``ENTRY_BYTES`` for each beside its strings.
+TABLE_BYTES = 96 << 20
+ENTRY_BYTES = 256
 _SEGMENT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 
 
@@ -133,9 +136,11 @@ class Codec:
         self.digits = _joined([b"%d," % i for i in range(len(pieces))])
         self.is_id = np.zeros(self.far + 0x110000, bool)
         self.is_id[: len(pieces)] = True
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Starts the table of known segments anew."""
+        self.held = 0
         self.known: dict[str, int] = {}
         self.counts = np.empty(0, np.int64)
         self.id_text: list[bytes] = []
@@ -164,15 +169,17 @@ class Codec:
         return _gathered(self.surface, self.surface_at, ids, count)
 
     def _learn(self, rows: list[list[str]]) -> list[list[str]]:
-        if len(self.known) > TABLE_SEGMENTS:
-            self._forget()
+        if len(self.known) > TABLE_SEGMENTS or self.held > TABLE_BYTES:
+            self.forget()
         new = list(set().union(*rows).difference(self.known)) if rows else []
         if new:
             ids, count = self.merge(new)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             self.counts = np.concatenate((self.counts, count))
-            self.id_text += _gathered(*self.digits, ids, count)
-            self.plain += self.decode_bytes(ids, count)
+            texts, plains = _gathered(*self.digits, ids, count), self.decode_bytes(ids, count)
+            self.id_text += texts
+            self.plain += plains
+            self.held += ENTRY_BYTES * len(new) + sum(sum(map(len, x)) for x in (new, texts, plains))
         return rows
 
     def _segments(self, texts: list[str]) -> list[list[int]]:
@@ -228,16 +235,19 @@ def encode_decode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model_path, model)
-        for c in chunks(batches):
-            texts = c.texts()
-            counts, shas, plains = codec.digests(texts)
-            columns = {"id": c.ids, "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(shas, pa.string()), "decoded": pa.array(plains, pa.binary()).cast(pa.string())}
-            if ids:
-                columns["ids"] = pa.array([x.astype(np.int32) for x in codec.encode(texts)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_pydict(columns)
+        try:
+            for c in chunks(batches):
+                texts = c.texts()
+                counts, shas, plains = codec.digests(texts)
+                columns = {"id": c.ids, "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(shas, pa.string()), "decoded": pa.array(plains, pa.binary()).cast(pa.string())}
+                if ids:
+                    columns["ids"] = pa.array([x.astype(np.int32) for x in codec.encode(texts)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_pydict(columns)
+        finally:
+            codec.forget()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded string" + ", ids array<int>" * ids)
+    out = rows.mapInArrow(tidied(run), f"id {kind}, n_tokens long, ids_sha256 string, decoded string" + ", ids array<int>" * ids)
     return out.withColumnRenamed("id", id_col)
 
 
