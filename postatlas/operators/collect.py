@@ -90,22 +90,45 @@ def counts(posts: DataFrame) -> DataFrame:
     return e.agg(F.count("*").alias("collected"), F.count_if(F.col("estimate").isNotNull()).alias("located"), F.count_if(F.col("estimate").isNull()).alias("unlocated"))
 
 
-def envelope(posts: DataFrame, now: Column, minutes: float) -> DataFrame:
+#: Parts of a window whose posts are put in order by themselves.
+SLICES = 100
+
+
+def envelope(posts: DataFrame, now: Column, minutes: float, joined: Sequence[str] = ()) -> DataFrame:
     """The response as one row: generatedAt, windowMinutes, demo, counts and the located posts newest first, and all of it as ``json``.
 
-    One response holds all its posts; a time window bounds them.
+    One response holds all its posts; a time window bounds them.  Posts are put
+    in order within slices of the window, then the slices, so that no task sorts
+    all posts.  With ``joined``, the values of the columns named there stand for
+    posts and json, as one text with commas each (null without a value), and
+    nothing else of a post is gathered, whatever the size of its text.
     """
     e = with_estimate(posts)
     full = either(F.col("imageFull"), F.col("image"))
     values = {"imageFull": full, "lat": F.col("estimate.lat"), "lon": F.col("estimate.lon"), "locationLabel": F.col("estimate.label"), "pref": F.col("estimate.pref"), "confidence": F.col("estimate.confidence"), "method": F.col("estimate.method")}
-    post = F.struct(*(values.get(c, F.col(c)).alias(c) for c in LOCATED_POST))
-    keyed = F.struct((-F.unix_millis(parse_time(F.col("createdAt")))).alias("t"), F.col("ord").alias("o"), post.alias("p"))
-    one = e.agg(
-        F.coalesce(F.bool_or("demo"), F.lit(False)).alias("demo"),
-        F.struct(F.count("*").alias("collected"), F.count_if(F.col("estimate").isNotNull()).alias("located"), F.count_if(F.col("estimate").isNull()).alias("unlocated")).alias("counts"),
+    post = F.struct(*(values.get(c, F.col(c)).alias(c) for c in joined or LOCATED_POST))
+    t = -F.unix_millis(parse_time(F.col("createdAt")))
+    keyed = F.struct(t.alias("t"), F.col("ord").alias("o"), post.alias("p"))
+
+    def texts(posts: Column) -> list[Column]:
+        some = {c: F.array_compact(posts[c].cast("array<string>")) for c in joined}
+        return [F.when(F.size(x) > 0, F.array_join(x, ",")).alias(c) for c, x in some.items()]
+
+    parts = e.groupBy(F.floor(t / F.lit(max(1.0, minutes * 60_000 / SLICES))).alias("slice")).agg(
+        F.bool_or("demo").alias("demo"), F.count("*").alias("collected"), F.count_if(F.col("estimate").isNotNull()).alias("located"), F.count_if(F.col("estimate").isNull()).alias("unlocated"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("estimate").isNotNull(), keyed))), lambda x: x["p"]).alias("posts"),
     )
-    out = one.select(iso(now).alias("generatedAt"), F.lit(float(minutes)).alias("windowMinutes"), "demo", "counts", "posts")
+    if joined:
+        parts = parts.withColumn("posts", F.struct(*texts(F.col("posts"))))
+    one = parts.agg(
+        F.coalesce(F.bool_or("demo"), F.lit(False)).alias("demo"),
+        F.struct(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("collected", "located", "unlocated"))).alias("counts"),
+        F.transform(F.array_sort(F.collect_list(F.struct("slice", "posts"))), lambda x: x["posts"]).alias("posts"),
+    )
+    head = (iso(now).alias("generatedAt"), F.lit(float(minutes)).alias("windowMinutes"), "demo", "counts")
+    if joined:
+        return one.select(*head, *texts(F.col("posts")))
+    out = one.select(*head, F.flatten("posts").alias("posts"))
     return out.withColumn("json", F.to_json(F.struct("generatedAt", "windowMinutes", "demo", "counts", "posts"), {"ignoreNullFields": "false"}))
 
 

@@ -206,8 +206,8 @@ def api_envelope(spark: SparkSession, sf: str) -> DataFrame:
     now = latest(spark, sf)
     live = collect.union_sources(posts(spark, sf))
     recent = collect.collect_posts(live, sample_posts(spark, now), now, minutes=60 * _DAY)
-    e = collect.envelope(recent, now, 60 * _DAY)
-    return e.select("generatedAt", "windowMinutes", "demo", "counts.*", F.array_join("posts.id", ",").alias("ids"), F.array_join("posts.locationLabel", ",").alias("labels"))
+    e = collect.envelope(recent, now, 60 * _DAY, joined=("id", "locationLabel"))
+    return e.select("generatedAt", "windowMinutes", "demo", "counts.*", F.col("id").alias("ids"), F.col("locationLabel").alias("labels"))
 
 
 def _text(x: str) -> str:
